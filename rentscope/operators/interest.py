@@ -48,23 +48,25 @@ def failure_note(found: DataFrame, keywords: Sequence[str]) -> str | None:
     return f"{head} keyword series empty: {', '.join(missing)}"
 
 
-def stats(series: DataFrame) -> DataFrame:
-    """Mean, greatest, latest interest and weeks observed by keyword, highest mean first."""
+FIELDS = ["keyword", "mean_interest", "max_interest", "latest_interest", "weeks_observed"]
+
+
+def _stats(series: DataFrame) -> DataFrame:
     latest = F.max_by("interest", F.struct("week", "interest"))
-    return (
-        series.groupBy("keyword")
-        .agg(
-            F.bround(F.avg("interest"), 2).alias("mean_interest"),
-            F.max("interest").alias("max_interest"),
-            latest.cast("double").alias("latest_interest"),
-            F.count("interest").alias("weeks_observed"),
-            F.avg("interest").alias("_mean"),
-        )
-        .orderBy(F.desc("_mean"), "keyword")
-        .drop("_mean")
+    return series.groupBy("keyword").agg(
+        F.bround(F.avg("interest"), 2).alias("mean_interest"),
+        F.max("interest").alias("max_interest"),
+        latest.cast("double").alias("latest_interest"),
+        F.count("interest").alias("weeks_observed"),
+        F.avg("interest").alias("_mean"),
     )
 
 
+def stats(series: DataFrame) -> DataFrame:
+    """Mean, greatest, latest interest and weeks observed by keyword, highest mean first."""
+    return _stats(series).orderBy(F.desc("_mean"), "keyword").select(*FIELDS)
+
+
 def summary(
     series: DataFrame,
     timeframe: str,
@@ -73,11 +75,10 @@ def summary(
     note: str | None = None,
 ) -> DataFrame:
     """One row with the statistics of every keyword and the one of highest mean."""
-    fields = ["keyword", "mean_interest", "max_interest", "latest_interest", "weeks_observed"]
-    rows = F.collect_list(F.struct((-F.col("mean_interest")).alias("_o"), *fields))
-    listed = F.transform(F.array_sort(rows), lambda r: F.struct(*[r[f].alias(f) for f in fields]))
+    rows = F.collect_list(F.struct((-F.col("_mean")).alias("_o"), *FIELDS))
+    listed = F.transform(F.array_sort(rows), lambda r: F.struct(*[r[f].alias(f) for f in FIELDS]))
     return (
-        stats(series)
+        _stats(series)
         .agg(listed.alias("keyword_stats"))
         .select(
             F.lit(SOURCE).alias("source"),

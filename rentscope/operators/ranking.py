@@ -107,8 +107,3 @@ def counted(kind: str, key: str | None = None) -> Column:
 def top_keys(counts: DataFrame, k: int) -> DataFrame:
     """The k top keys of each kind as rows."""
     return ranked(counts).filter(F.col("rank") <= k).select("kind", "rank", "key", "count")
-
-
-def smallest_distinct(df: DataFrame, values: str, n: int) -> DataFrame:
-    """The n smallest distinct elements of an array column, one per row."""
-    return df.select(F.explode(values).alias("value")).distinct().orderBy("value").limit(n)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TRANSACTION_COLUMNS = [
     "district", "building_type", "area_ping", "rent_ntd", "rent_per_ping", "transaction_date",
@@ -21,7 +22,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def read_json(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+def read_json(
+    spark: SparkSession, path: str, schema: str | StructType, multi_line: bool = True
+) -> DataFrame:
     """A JSON array, document or JSON Lines table; no rows if the path is missing."""
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)

@@ -12,12 +12,17 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rentscope import vocab
+import rentscope
 from rentscope.functions import text
+from rentscope.vocab import PREVIOUS_PAGE_LABEL
+
+# The readers below travel with the task, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(rentscope)
 
 VOID = frozenset(
     "area base basefont bgsound br col command embed frame hr image img input isindex keygen "
@@ -181,7 +186,7 @@ class IndexPage(PageReader):
     def on_close(self, tag, attrs):
         if self.link is not None and tag == "a":
             href, label = self.link
-            if self.previous is None and vocab.PREVIOUS_PAGE_LABEL in label and href:
+            if self.previous is None and PREVIOUS_PAGE_LABEL in label and href:
                 self.previous = href
             self.link = None
         if self.entry is not None:
