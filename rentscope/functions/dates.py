@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rentscope.vocab import SPACE
+
 ISO_MOMENT = (
     r"^\d{4}-\d{2}-\d{2}"
     r"(?:[T ](?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$"
@@ -26,7 +28,7 @@ def roc_date(text: Column) -> Column:
 
 def forum_timestamp(text: Column) -> Column:
     """Timestamp of a forum post; an index-page ``M/D`` has no year and gives null."""
-    spaced = F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    spaced = F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
     return F.coalesce(
         F.try_to_timestamp(F.regexp_extract(spaced, FORUM_STAMP, 1), F.lit("MMM d H:m:s yyyy")),
         F.when(

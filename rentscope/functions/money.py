@@ -29,7 +29,10 @@ def money_token(token: Column) -> Column:
     ``2.8萬`` and ``2萬8`` are 28000, ``28.000`` and ``28,000`` too, ``28k`` and
     ``28千`` as well; any other number loses its fraction.
     """
-    text = ascii_digits(F.regexp_replace(F.trim(token), " ", ""))
+    return _amount(ascii_digits(F.regexp_replace(F.trim(token), " ", "")))
+
+
+def _amount(text: Column) -> Column:
     wan = F.regexp_extract(text, vocab.WAN_AMOUNT, 1)
     extra = F.regexp_extract(text, vocab.WAN_AMOUNT, 2)
     thousands = F.regexp_replace(text, "[kK千]$", "")
@@ -68,41 +71,39 @@ def post_prices(text: Column, keep: int = 10) -> Column:
         _matches(text, vocab.MONTHLY_RENT_LABEL), _matches(text, vocab.MONEY_LABEL)
     )
     grouped = F.concat(
-        F.transform(_matches(text, vocab.DOT_THOUSANDS), lambda t: F.regexp_replace(t, r"\.", "")),
-        F.transform(_matches(text, vocab.COMMA_THOUSANDS), lambda t: F.regexp_replace(t, ",", "")),
+        F.transform(_matches(text, vocab.DOT_THOUSANDS), lambda t: F.replace(t, F.lit("."), F.lit(""))),
+        F.transform(_matches(text, vocab.COMMA_THOUSANDS), lambda t: F.replace(t, F.lit(","), F.lit(""))),
         _matches(text, vocab.PLAIN_AMOUNT),
     )
     thousands = F.concat(_matches(text, vocab.K_AMOUNT), _matches(text, vocab.QIAN_AMOUNT))
     amounts = F.concat(
-        F.transform(labelled, money_token),
-        F.transform(grouped, lambda t: ascii_digits(t).try_cast("bigint")),
-        F.transform(thousands, lambda t: _whole(ascii_digits(t).try_cast("double") * 1000)),
-        F.transform(_matches(text, vocab.WAN_AMOUNT, 0), money_token),
+        F.transform(labelled, _amount),
+        F.transform(grouped, lambda t: t.try_cast("bigint")),
+        F.transform(thousands, lambda t: _whole(t.try_cast("double") * 1000)),
+        F.transform(_matches(text, vocab.WAN_AMOUNT, 0), _amount),
     )
     return smallest(F.filter(amounts, plausible_rent), keep)
 
 
 def post_areas(text: Column, keep: int = 10) -> Column:
     """Floor areas in ping named in a post."""
-    areas = F.transform(
-        _matches(text, vocab.AREA), lambda t: ascii_digits(t).try_cast("double")
-    )
+    found = _matches(ascii_digits(text), vocab.AREA)
+    areas = F.transform(found, lambda t: t.try_cast("double"))
     return smallest(F.filter(areas, lambda a: a.between(*vocab.AREA_RANGE)), keep)
 
 
 def page_prices(text: Column, keep: int = 30) -> Column:
     """Numbers on a web page that may be prices; long digit runs are read in pieces."""
     values = F.transform(
-        _matches(text, vocab.PAGE_PRICE),
-        lambda t: ascii_digits(F.regexp_replace(t, ",", "")).try_cast("int"),
+        _matches(ascii_digits(text), vocab.PAGE_PRICE),
+        lambda t: F.replace(t, F.lit(","), F.lit("")).try_cast("int"),
     )
     return smallest(F.filter(values, lambda v: v.between(*vocab.PAGE_PRICE_RANGE)), keep)
 
 
 def page_percents(text: Column, keep: int = 20) -> Column:
-    values = F.transform(
-        _matches(text, vocab.PERCENT), lambda t: ascii_digits(t).try_cast("double")
-    )
+    found = _matches(ascii_digits(text), vocab.PERCENT)
+    values = F.transform(found, lambda t: t.try_cast("double"))
     return smallest(F.filter(values, lambda v: (v > 0) & (v <= 100)), keep)
 
 

@@ -11,13 +11,15 @@ FULL_WIDTH_DIGITS = "０１２３４５６７８９"
 
 
 def ascii_digits(text: Column) -> Column:
-    return F.translate(text, FULL_WIDTH_DIGITS, "0123456789")
+    """Full-width digits as ASCII ones; a text without any is passed through."""
+    swapped = F.translate(text, FULL_WIDTH_DIGITS, "0123456789")
+    return F.when(text.rlike("[０-９]"), swapped).otherwise(text)
 
 
 def to_number(text: Column) -> Column:
     """First signed decimal in a text, thousands commas ignored; null if there is none."""
-    found = F.regexp_extract(F.regexp_replace(text, ",", ""), vocab.NUMBER, 1)
-    return ascii_digits(found).try_cast("double")
+    bare = F.regexp_replace(ascii_digits(text), ",", "")
+    return F.regexp_extract(bare, vocab.NUMBER, 1).try_cast("double")
 
 
 def blank_missing(text: Column) -> Column:

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rentscope import vocab
 
-SPACES = r"(?U)[\s\x1c-\x1f]+"
+SPACES = f"[{vocab.SPACE}]+"
+# Runs that differ from one plain space; a plain space needs no replacement.
+ODD_SPACES = f" [{vocab.SPACE}]+|[{vocab.SPACE}&&[^ ]][{vocab.SPACE}]*"
+WHITE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+REGEX_SIGNS = set(r"\^$.?*+()[]{}")
 
 
 def _present(names: Sequence[str], tests: Sequence[Column]) -> Column:
@@ -17,10 +22,26 @@ def _present(names: Sequence[str], tests: Sequence[Column]) -> Column:
     return F.array_compact(marks) if names else F.array().cast("array<string>")
 
 
+def occurs(text: Column, pattern: str) -> Column:
+    """Whether a pattern occurs, in any case of its letters.
+
+    Plain words without case are searched as bytes, which is several times as fast as
+    a regular expression over their alternation.
+    """
+    if REGEX_SIGNS & set(pattern):
+        return text.rlike("(?iu)" + pattern)
+    words = pattern.split("|")
+    cased = [w for w in words if w.lower() != w.upper()]
+    tests = [text.contains(w) for w in words if w not in cased]
+    if cased:
+        tests.append(text.rlike("(?iu)" + "|".join(cased)))
+    return reduce(lambda a, b: a | b, tests)
+
+
 def category_tags(text: Column, patterns: Mapping[str, str]) -> Column:
     """Names of the categories whose pattern occurs, sorted."""
     names = sorted(patterns)
-    return _present(names, [text.rlike("(?iu)" + patterns[name]) for name in names])
+    return _present(names, [occurs(text, patterns[name]) for name in names])
 
 
 def name_tags(text: Column, names: Sequence[str] = vocab.DISTRICTS) -> Column:
@@ -50,12 +71,12 @@ def asks_price(
     question_marks: str = vocab.QUESTION_MARKS,
 ) -> Column:
     """Whether a text speaks of a price and asks something."""
-    asks = text.rlike(question_marks) | text.rlike("(?iu)" + question_words)
-    return text.rlike("(?iu)" + pricing) & asks
+    asks = text.rlike(question_marks) | occurs(text, question_words)
+    return occurs(text, pricing) & asks
 
 
 def collapse(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, SPACES, " "))
+    return F.trim(F.regexp_replace(text, ODD_SPACES, " "))
 
 
 def snippet(text: Column, length: int = 200) -> Column:
@@ -75,17 +96,20 @@ def price_snippet(
     return F.substr(text, start, F.lit(length))
 
 
+def mask_mail(text: Column) -> Column:
+    masked = F.regexp_replace(text, vocab.EMAIL, vocab.EMAIL_MASK)
+    return F.when(text.contains("@"), masked).otherwise(text)
+
+
 def mask_post(text: Column) -> Column:
     """Hide phone numbers, then mail addresses, then LINE accounts."""
-    text = F.regexp_replace(text, vocab.PHONE, vocab.PHONE_MASK)
-    text = F.regexp_replace(text, vocab.EMAIL, vocab.EMAIL_MASK)
+    text = mask_mail(F.regexp_replace(text, vocab.PHONE, vocab.PHONE_MASK))
     return F.regexp_replace(text, vocab.LINE_ID, "$1" + vocab.LINE_ID_MASK)
 
 
 def mask_review(text: Column) -> Column:
     """Hide mail addresses, then mobile numbers."""
-    text = F.regexp_replace(text, vocab.EMAIL, vocab.EMAIL_MASK)
-    return F.regexp_replace(text, vocab.MOBILE, vocab.PHONE_MASK)
+    return F.regexp_replace(mask_mail(text), vocab.MOBILE, vocab.PHONE_MASK)
 
 
 def post_body(text: Column) -> Column:
@@ -93,7 +117,7 @@ def post_body(text: Column) -> Column:
     body = F.split_part(text, F.lit(vocab.POST_ORIGIN_MARK), F.lit(1))
     body = F.split_part(body, F.lit(vocab.POST_SIGNATURE_MARK), F.lit(1))
     body = F.regexp_replace(body, r"\n{3,}", "\n\n")
-    return F.regexp_replace(body, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(body, F.lit(WHITE))
 
 
 def thread_id(url: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rentscope import vocab
 from rentscope.functions import dates
 from rentscope.functions.numbers import half_even, to_number
+from rentscope.operators.once import once
 
 REQUIRED = ["district", "building_type", "area_ping", "rent_ntd", "transaction_date"]
 ALIASES = {"rent_total_ntd": "rent_ntd", "rent_per_ping_ntd": "rent_per_ping"}
@@ -81,7 +82,7 @@ def plausible(
 
 def clean_rent(raw: DataFrame) -> DataFrame:
     """Normalised, completed and plausible rent rows."""
-    return plausible(required_present(fill_unit_rent(normalise(raw))))
+    return plausible(required_present(once(fill_unit_rent(normalise(raw)))))
 
 
 def to_ingest(rent: DataFrame) -> DataFrame:

@@ -48,12 +48,10 @@ def tally(df: DataFrame, kinds: Mapping[str, Column], order: str | None = None)
     cells = [
         F.transform(values.cast("array<string>"), _cell(kind)) for kind, values in kinds.items()
     ]
-    kept = [F.concat(*cells).alias("_cells")]
-    if order:
-        kept.append(F.col(order).cast("bigint").alias("_order"))
-    rows = df.select(*kept).select(
-        *(["_order"] if order else []), F.posexplode("_cells").alias("_place", "_cell")
-    )
+    # The generator takes the expression itself: over a named column the optimizer would
+    # add a size check that computes every cell once more.
+    kept = [F.col(order).cast("bigint").alias("_order")] if order else []
+    rows = df.select(*kept, F.posexplode(F.concat(*cells)).alias("_place", "_cell"))
     first = (
         F.min(F.col("_order") * PLACES + F.least(F.col("_place"), F.lit(PLACES - 1)))
         if order

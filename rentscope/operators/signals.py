@@ -32,8 +32,8 @@ def newest_articles(
 ) -> DataFrame:
     """Each board's newest articles, every address once and its newest copy kept."""
     dated = articles.withColumn("posted_at", dates.forum_timestamp(F.col("date")))
-    once = ranking.newest_per_key(dated, ["board", "url"], ["posted_at", "title", "content"])
-    kept = once.filter(recent(F.col("date"), since))
+    latest = ranking.newest_per_key(dated, ["board", "url"], ["posted_at", "title", "content"])
+    kept = latest if since is None else latest.filter(F.col("posted_at") >= F.lit(since))
     if per_board is not None:
         order = [F.col("posted_at").desc_nulls_last(), F.col("url")]
         kept = ranking.newest_per_group(kept, "board", order, per_board, ["url"])

@@ -11,6 +11,7 @@ from rentscope import schemas, vocab
 from rentscope.operators import benchmarks, cleaning, evidence, interest, metrics, segments
 from rentscope.operators import reviews as review_ops
 from rentscope.operators import signals as signal_ops
+from rentscope.operators.once import once
 from rentscope.session import materialise
 from rentscope.sinks import files, warehouse
 from rentscope.sources import feeds
@@ -88,7 +89,7 @@ def forum_signals(
     if output:
         articles = materialise(articles, "articles")
         files.write_rows(signal_ops.raw_threads(articles), f"{output}/threads")
-    found = signal_ops.to_signals(articles, **dictionaries).filter(
+    found = once(signal_ops.to_signals(articles, **dictionaries)).filter(
         signal_ops.keep(local_only, since)
     )
     if output:

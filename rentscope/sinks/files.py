@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from rentscope.functions.dates import iso
 from rentscope.operators import metrics as m
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 
 def flat(df: DataFrame) -> DataFrame:

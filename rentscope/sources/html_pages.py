@@ -97,7 +97,7 @@ class PageReader(HTMLParser):
             else:
                 self.run.append(chr(code))
         except (ValueError, OverflowError):
-            self.run.append("�")
+            self.run.append("\ufffd")
 
     def handle_comment(self, data):
         self._end_run()

@@ -15,7 +15,7 @@ LEGACY_ENCODINGS = ("big5", "x-windows-950")
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[name.replace("﻿", "").strip() for name in df.columns])
+    return df.toDF(*[name.replace("\ufeff", "").strip() for name in df.columns])
 
 
 def _read(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
@@ -25,7 +25,7 @@ def _read(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame
 def _undecodable(df: DataFrame) -> set[str]:
     broken = reduce(
         lambda a, b: a | b,
-        [F.coalesce(F.contains(F.col(f"`{c}`"), F.lit("�")), F.lit(False)) for c in df.columns],
+        [F.coalesce(F.contains(F.col(f"`{c}`"), F.lit("\ufffd")), F.lit(False)) for c in df.columns],
     )
     rows = df.filter(broken).select(F.input_file_name().alias("file")).distinct().collect()
     return {row.file for row in rows}

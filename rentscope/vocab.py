@@ -1,8 +1,9 @@
 """Names, patterns and limits that decide what the engine computes.
 
-Patterns are Java regular expressions. ``(?U)`` makes ``\\d \\s \\w \\b`` Unicode
-aware and ``(?iu)`` ignores case beyond ASCII. Every dictionary here is a default:
-the operators take other dictionaries as arguments.
+Patterns are Java regular expressions. ``SPACE`` lists Unicode white space and
+``WORD_END`` is a Unicode word border, so that the slow ``(?U)`` mode is not needed;
+full-width digits are turned into ASCII ones before a number pattern is applied.
+Every dictionary here is a default: the operators take other dictionaries.
 """
 
 # --- fixed values: district names, order significant -------------------------
@@ -43,27 +44,34 @@ PAIN_POINTS = {
 }
 
 # --- fixed values: money, area and percent patterns ----------------------------
+SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WORD_END = r"(?![\p{L}\p{N}_])"
 AMOUNT = r"[\d,.]+(?:\.\d{3})?|\d+(?:\.\d+)?[万萬](?:\d+)?"
-MONTHLY_RENT_LABEL = r"(?U)每月租金[：:\s]*(" + AMOUNT + ")"
-MONEY_LABEL = r"(?U)(?:租金|房租|月租|價格|價錢|開價)[：:\s]*(" + AMOUNT + ")"
-DOT_THOUSANDS = r"(?U)(?<!\d)(\d{1,2}\.\d{3})(?!\d)"
-COMMA_THOUSANDS = r"(?U)(?<!\d)(\d{1,3}(?:,\d{3})+)(?:\s*(?:元|塊|/月|／月|月))?(?!\d)"
-PLAIN_AMOUNT = r"(?U)(?<!\d)(\d{4,6})(?:\s*(?:元|塊|/月|／月|月))?(?!\d)"
-K_AMOUNT = r"(?U)(\d+(?:\.\d+)?)\s*[kK]\b"
-QIAN_AMOUNT = r"(?U)(\d+(?:\.\d+)?)\s*千"
-WAN_AMOUNT = r"(?U)(\d+(?:\.\d+)?)[万萬](\d+)?"
-AREA = r"(?iuU)(\d+(?:\.\d+)?)\s*(?:坪|ping|p)\b"
-# The currency word before and the unit after a page price hold no digit, so the
-# captured numbers are the same without them.
-PAGE_PRICE = r"(?U)(\d{1,3}(?:,\d{3})+|\d{2,6})"
-PERCENT = r"(?U)(\d+(?:\.\d+)?)\s*%"
-NUMBER = r"(?U)([-+]?\d*\.?\d+)"
+MONTHLY_RENT_LABEL = rf"每月租金[：:{SPACE}]*({AMOUNT})"
+MONEY_LABEL = rf"(?:租金|房租|月租|價格|價錢|開價)[：:{SPACE}]*({AMOUNT})"
+DOT_THOUSANDS = r"(?<!\d)(\d{1,2}\.\d{3})(?!\d)"
+COMMA_THOUSANDS = r"(?<!\d)(\d{1,3}(?:,\d{3})+)(?!\d)"
+PLAIN_AMOUNT = r"(?<!\d)(\d{4,6})(?!\d)"
+K_AMOUNT = rf"(\d+(?:\.\d+)?)[{SPACE}]*[kK]{WORD_END}"
+QIAN_AMOUNT = rf"(\d+(?:\.\d+)?)[{SPACE}]*千"
+WAN_AMOUNT = r"(\d+(?:\.\d+)?)[万萬](\d+)?"
+AREA = rf"(?iu)(\d+(?:\.\d+)?)[{SPACE}]*(?:坪|ping|p){WORD_END}"
+PAGE_PRICE = r"(\d{1,3}(?:,\d{3})+|\d{2,6})"
+PERCENT = rf"(\d+(?:\.\d+)?)[{SPACE}]*%"
+NUMBER = r"([-+]?\d*\.?\d+)"
+# Left out of COMMA_THOUSANDS, PLAIN_AMOUNT and PAGE_PRICE: the optional currency
+# word before and unit after the number. They hold no digit, so they change neither
+# where a match starts nor what it captures.
 
 # --- fixed values: personal data patterns and their replacements ----------------
-PHONE = r"(?U)(?<!\d)(?:09\d{2}[-\s]?\d{3}[-\s]?\d{3}|\d{2,4}[-\s]?\d{6,8})(?!\d)"
-MOBILE = r"(?U)(?<!\d)09\d{2}[-\s]?\d{3}[-\s]?\d{3}(?!\d)"
+DIGIT = "[0-9０-９]"
+MOBILE = rf"(?<!{DIGIT})09{DIGIT}{{2}}[-{SPACE}]?{DIGIT}{{3}}[-{SPACE}]?{DIGIT}{{3}}(?!{DIGIT})"
+PHONE = (
+    rf"(?<!{DIGIT})(?:09{DIGIT}{{2}}[-{SPACE}]?{DIGIT}{{3}}[-{SPACE}]?{DIGIT}{{3}}"
+    rf"|{DIGIT}{{2,4}}[-{SPACE}]?{DIGIT}{{6,8}})(?!{DIGIT})"
+)
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-LINE_ID = r"(?iuU)(line\s*(?:id|帳號)?\s*[:：]?\s*)[A-Za-z0-9_.-]{4,}"
+LINE_ID = rf"(?iu)(line[{SPACE}]*(?:id|帳號)?[{SPACE}]*[:：]?[{SPACE}]*)[A-Za-z0-9_.-]{{4,}}"
 PHONE_MASK = "[PHONE_REDACTED]"
 EMAIL_MASK = "[EMAIL_REDACTED]"
 LINE_ID_MASK = "[LINE_ID_REDACTED]"

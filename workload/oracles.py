@@ -121,6 +121,15 @@ select district, building_type, cast({area} as double) as area_ping,
 from metrics"""
 
 
+def half_even_cents(value: str) -> str:
+    """Two digits of a value of six, halves to the even neighbour, in whole numbers."""
+    return (
+        f"(select (q + case when r > 5000 or (r = 5000 and q % 2 = 1) then 1 else 0 end) / 100.0::double "
+        f"from (select cast(round({value} * 1000000) as bigint) // 10000 as q, "
+        f"cast(round({value} * 1000000) as bigint) % 10000 as r))"
+    )
+
+
 QUOTES = (
     "quotes",
     f"""
@@ -133,7 +142,7 @@ QUOTES = (
              case when not (r.area_ping > 0) then 'invalid_area'
                   when m.sample_size is null then 'not_found' else 'ok' end as status
       from ({tables.shape(tables.REQUESTS)}) r
-      left join metrics m on r.district = m.district and r.building_type = m.building_type) q""",
+      left join ({METRIC_ROWS}) m on r.district = m.district and r.building_type = m.building_type) q""",
 )
 
 
@@ -581,9 +590,9 @@ ORACLES = {
         select request_id, district, building_type, area_ping, status,
                {if_ok('low', 'recommended_rent_low')}, {if_ok('mid', 'recommended_rent_mid')},
                {if_ok('high', 'recommended_rent_high')},
-               {if_ok('round_even(p25_rent_per_ping, 2)', 'rent_per_ping_low')},
-               {if_ok('round_even(median_rent_per_ping, 2)', 'rent_per_ping_mid')},
-               {if_ok('round_even(p75_rent_per_ping, 2)', 'rent_per_ping_high')},
+               {if_ok(half_even_cents('p25_rent_per_ping'), 'rent_per_ping_low')},
+               {if_ok(half_even_cents('median_rent_per_ping'), 'rent_per_ping_mid')},
+               {if_ok(half_even_cents('p75_rent_per_ping'), 'rent_per_ping_high')},
                {if_ok('round_even(median_rent_ntd, 0)', 'district_median_rent_ntd')},
                {if_ok('round(confidence_score, 6)', 'confidence_score')},
                {if_ok('sample_size', 'sample_size')}, {if_ok("'TWD'", 'currency')},
@@ -593,7 +602,7 @@ ORACLES = {
     "quote_breakdown": with_(TX, GOOD, METRICS, QUOTES, final=" union all ".join(
         f"""select request_id, district, building_type, area_ping, {place} as place,
                    '{label}' as strategy, {side} as monthly_rent,
-                   round_even({unit}, 2) as rent_per_ping, {side} * 12 as annual_rent
+                   {half_even_cents(unit)} as rent_per_ping, {side} * 12 as annual_rent
             from quotes where status = 'ok'"""
         for place, (side, unit, label) in enumerate((
             ("low", "p25_rent_per_ping", "Conservative (P25)"),

@@ -223,7 +223,8 @@ def recommendations_filtered(spark, sf):
 
 
 def _quotes(spark, sf):
-    return quotes.quote(requests(spark, sf), metrics.district_metrics(plausible(spark, sf)))
+    found = rounded(metrics.district_metrics(plausible(spark, sf)), *METRIC_FIGURES)
+    return quotes.quote(requests(spark, sf), found)
 
 
 def batch_quotes(spark, sf):
