@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from rentscope import vocab
 
-SPACES = f"[{vocab.SPACE}]+"
-# Runs that differ from one plain space; a plain space needs no replacement.
-ODD_SPACES = f" [{vocab.SPACE}]+|[{vocab.SPACE}&&[^ ]][{vocab.SPACE}]*"
 WHITE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 REGEX_SIGNS = set(r"\^$.?*+()[]{}")
 
@@ -76,7 +73,9 @@ def asks_price(
 
 
 def collapse(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, ODD_SPACES, " "))
+    """Runs of white space as one space, none at the ends."""
+    spaced = F.translate(text, WHITE, " " * len(WHITE))
+    return F.trim(F.regexp_replace(spaced, " {2,}", " "))
 
 
 def snippet(text: Column, length: int = 200) -> Column:

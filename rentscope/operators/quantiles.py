@@ -51,11 +51,7 @@ def aggregate(
     """
     rows = df.dropna(subset=list(keys)) if keys else df
     if largest_group(rows, keys) <= max_group_rows:
-        exact = [
-            F.percentile(F.col(column).cast("double"), F.lit(p)).alias(name)
-            for name, (column, p) in quantiles.items()
-        ]
-        return rows.groupBy(*keys).agg(*others, *exact)
+        return _direct(rows, keys, quantiles, others)
 
     found = narrowed(rows, keys, quantiles, max_group_rows)
     if not others:
@@ -67,6 +63,23 @@ def aggregate(
     return counted.select("*", one).join(found.select("*", one), "_one", "left").drop("_one")
 
 
+def _direct(rows, keys, quantiles, others) -> DataFrame:
+    """One value map per column, whatever number of its quantiles is asked for."""
+    wanted: dict[str, list[float]] = {}
+    for column, p in quantiles.values():
+        wanted.setdefault(column, []).append(p)
+    maps = [
+        F.percentile(F.col(column).cast("double"), F.array(*map(F.lit, ps))).alias(f"_{column}")
+        for column, ps in wanted.items()
+    ]
+    kept = [c for c in rows.groupBy(*keys).agg(*others).columns] if others else list(keys)
+    points = [
+        F.get(f"_{column}", F.lit(wanted[column].index(p))).alias(name)
+        for name, (column, p) in quantiles.items()
+    ]
+    return rows.groupBy(*keys).agg(*others, *maps).select(*kept, *points)
+
+
 def of_counts(value: str, count: str, p: float, condition: Column | None = None) -> Column:
     """Exact quantile aggregate over rows that are already (value, count) pairs."""
     wanted = F.col(value) if condition is None else F.when(condition, F.col(value))

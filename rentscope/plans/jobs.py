@@ -22,12 +22,10 @@ def clean_open_data(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clean rent rows, their ingest form and the district summary.
 
-    With ``output`` the clean rows are written there once and the other two tables
-    are derived from that copy, so the raw text is parsed a single time.
+    The clean rows are stored once and everything else is derived from that copy, so
+    the raw text is parsed a single time.
     """
-    rent = cleaning.clean_rent(cleaning.rental_rows(raw))
-    if output:
-        rent = materialise(rent, "rent")
+    rent = materialise(cleaning.clean_rent(cleaning.rental_rows(raw)), "rent")
     ingest = cleaning.to_ingest(rent)
     summary = metrics.district_summary(rent)
     if output:

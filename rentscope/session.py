@@ -47,3 +47,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a scan over all cores, if its files make fewer pieces than there are cores.
+
+    A piece is at most ``spark.sql.files.maxPartitionBytes`` long, so only a table of
+    known small size is ever moved; a large one is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

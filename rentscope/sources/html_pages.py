@@ -265,7 +265,7 @@ def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
         return title, " ".join(reader.runs)
 
     parsed = _parsed(pages, html, [_string("page_title"), _string("page_text")], parse)
-    return parsed.withColumn("page_text", F.regexp_replace("page_text", text.SPACES, " "))
+    return parsed.withColumn("page_text", text.collapse(F.col("page_text")))
 
 
 def index_rows(pages: DataFrame, base_url: str, html: str = "html") -> DataFrame:

@@ -144,7 +144,7 @@ def ingest_rows(spark, sf):
 
 
 def district_summary(spark, sf):
-    return metrics.district_summary(clean(spark, sf))
+    return metrics.district_summary(materialise(clean(spark, sf), "rent"))
 
 
 def normalised_transactions(spark, sf):
@@ -173,7 +173,7 @@ def rent_csv_files(spark, sf):
         rent_csv.read_rent_csv(spark, f"{path}/utf8", f"{path}/big5")
     )
     rent = cleaning.clean_rent(cleaning.rental_rows(read))
-    return metrics.district_summary(rent)
+    return metrics.district_summary(materialise(rent, "rent"))
 
 
 # --- metrics and quotes -----------------------------------------------------------
