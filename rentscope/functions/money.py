@@ -67,6 +67,7 @@ def post_prices(text: Column, keep: int = 10) -> Column:
     A labelled amount may take any form; the other patterns fix the form of what
     they match, so each of those is read straight away.
     """
+    text = ascii_digits(text)
     labelled = F.concat(
         _matches(text, vocab.MONTHLY_RENT_LABEL), _matches(text, vocab.MONEY_LABEL)
     )

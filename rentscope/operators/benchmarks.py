@@ -48,39 +48,41 @@ def records(
     kept = enabled(sources)
     unset = F.lit(None).cast("string")
     extra = {c: unset for c in ("crawl_status", "crawl_error") if c not in pages.columns}
-    found = pages_of(kept, pages.withColumns(extra) if extra else pages, newest)
-    found = found.select(
-        "source_url", "page_title", "page_text", "crawl_error",
-        F.coalesce("crawl_status", F.lit("crawled")).alias("_status"),
-    )
+    found = _read_pages(pages_of(kept, pages.withColumns(extra) if extra else pages, newest))
     joined = kept.join(found, "source_url", "left")
-    crawled = F.coalesce(F.col("_status") == "crawled", F.lit(False))
-    body = F.when(crawled, F.col("page_text"))
-    return (
-        joined.withColumn("crawl_status", F.coalesce("_status", F.lit("manual_only")))
-        .withColumn(
-            "product", F.coalesce(F.nullif("product", F.lit("")), text.url_host(F.col("source_url")))
-        )
-        .select(
-            "product",
-            F.coalesce("category", F.lit(vocab.DEFAULT_CATEGORY)).alias("category"),
-            "source_url",
-            F.lit(checked_at or dates.utc_now()).alias("checked_at"),
-            "pricing_plan_name",
-            "manual_verified_price_ntd",
-            F.when(crawled, F.col("page_title")).alias("page_title"),
-            money.merge_prices(money.page_prices(body), F.col("manual_verified_price_ntd")).alias(
-                "extracted_price_values_ntd"
-            ),
-            F.coalesce(money.page_percents(body), F.array().cast("array<double>")).alias(
-                "extracted_percent_values"
-            ),
-            F.when(crawled, text.price_snippet(body)).otherwise(_manual_snippet()).alias(
-                "pricing_text_snippet"
-            ),
-            _notes().alias("notes"),
-            "crawl_status",
-        )
+    product = F.coalesce(F.nullif("product", F.lit("")), text.url_host(F.col("source_url")))
+    joined = joined.withColumns(
+        {"crawl_status": F.coalesce("crawl_status", F.lit("manual_only")), "product": product}
+    )
+    price = F.col("manual_verified_price_ntd")
+    return joined.select(
+        "product",
+        F.coalesce("category", F.lit(vocab.DEFAULT_CATEGORY)).alias("category"),
+        "source_url",
+        F.lit(checked_at or dates.utc_now()).alias("checked_at"),
+        "pricing_plan_name",
+        price.alias("manual_verified_price_ntd"),
+        "page_title",
+        money.merge_prices(F.col("_prices"), price).alias("extracted_price_values_ntd"),
+        F.coalesce("_percents", F.array().cast("array<double>")).alias("extracted_percent_values"),
+        F.coalesce("_snippet", _manual_snippet()).alias("pricing_text_snippet"),
+        _notes().alias("notes"),
+        "crawl_status",
+    )
+
+
+def _read_pages(found: DataFrame) -> DataFrame:
+    """What a record takes from a page, so that the join carries no page text."""
+    status = F.coalesce("crawl_status", F.lit("crawled"))
+    body = F.when(status == "crawled", F.col("page_text"))
+    return found.select(
+        "source_url",
+        status.alias("crawl_status"),
+        "crawl_error",
+        F.when(status == "crawled", F.col("page_title")).alias("page_title"),
+        money.page_prices(body).alias("_prices"),
+        money.page_percents(body).alias("_percents"),
+        text.price_snippet(body).alias("_snippet"),
     )
 
 

@@ -74,11 +74,14 @@ def summary(
     keywords: Sequence[str] = vocab.DEFAULT_TREND_KEYWORDS,
     note: str | None = None,
 ) -> DataFrame:
-    """One row with the statistics of every keyword and the one of highest mean."""
+    """One row with the statistics of the asked keywords and the one of highest mean.
+
+    The list is as long as ``keywords``; ``stats`` is the table of all.
+    """
     rows = F.collect_list(F.struct((-F.col("_mean")).alias("_o"), *FIELDS))
     listed = F.transform(F.array_sort(rows), lambda r: F.struct(*[r[f].alias(f) for f in FIELDS]))
     return (
-        _stats(series)
+        _stats(series.filter(F.col("keyword").isin(list(keywords))))
         .agg(listed.alias("keyword_stats"))
         .select(
             F.lit(SOURCE).alias("source"),

@@ -128,21 +128,25 @@ def narrowed(
 
 def _brackets(rows, keys, quantiles, margin, accuracy) -> DataFrame:
     """Per group an array with, for each quantile, its rank and a value range around it."""
-    sketches, specs = [], []
+    edges: dict[str, list[float]] = {}
+    specs = []
     for i, (column, p) in enumerate(quantiles.values()):
         low, high = p - margin, p + margin
-        edges = [F.lit(min(max(x, 0.0), 1.0)) for x in (low, high)]
-        sketches.append(
-            F.percentile_approx(column, F.array(*edges), F.lit(accuracy)).alias(f"_e{i}")
-        )
+        known = edges.setdefault(column, [])
+        sketched = [F.get(f"_e_{column}", F.lit(len(known) + side)) for side in (0, 1)]
+        known += [max(low, 0.0), min(high, 1.0)]
         specs.append(
             F.struct(
                 F.lit(i).alias("_spec"),
                 ((F.col(f"_n_{column}") - 1) * F.lit(p)).alias("_rank"),
-                (F.col(f"_min_{column}") if low <= 0 else F.get(f"_e{i}", F.lit(0))).alias("_from"),
-                (F.col(f"_max_{column}") if high >= 1 else F.get(f"_e{i}", F.lit(1))).alias("_to"),
+                (F.col(f"_min_{column}") if low <= 0 else sketched[0]).alias("_from"),
+                (F.col(f"_max_{column}") if high >= 1 else sketched[1]).alias("_to"),
             )
         )
+    sketches = [
+        F.percentile_approx(c, F.array(*map(F.lit, ps)), F.lit(accuracy)).alias(f"_e_{c}")
+        for c, ps in edges.items()
+    ]
     columns = sorted({column for column, _ in quantiles.values()})
     spans = [
         c

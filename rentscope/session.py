@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Lets the CSV reader decode big5 and cp950.
     "spark.sql.legacy.javaCharsets": "true",
+    # Pages go to Python in batches; a page may be large.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 

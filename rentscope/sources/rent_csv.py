@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ def _undecodable(df: DataFrame) -> set[str]:
         lambda a, b: a | b,
         [F.coalesce(F.contains(F.col(f"`{c}`"), F.lit("\ufffd")), F.lit(False)) for c in df.columns],
     )
-    rows = df.filter(broken).select(F.input_file_name().alias("file")).distinct().collect()
-    return {row.file for row in rows}
+    rows = df.filter(broken).select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+    return {unquote(row.file) for row in rows}
 
 
 def files_by_encoding(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
@@ -41,8 +42,8 @@ def files_by_encoding(spark: SparkSession, paths: Sequence[str]) -> dict[str, li
         F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("valid")
     )
     files = lines.groupBy("file").agg(F.bool_and("valid").alias("valid")).collect()
-    groups = {"utf-8": sorted(f.file for f in files if f.valid)}
-    left = sorted(f.file for f in files if not f.valid)
+    groups = {"utf-8": sorted(unquote(f.file) for f in files if f.valid)}
+    left = sorted(unquote(f.file) for f in files if not f.valid)
     if left:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     for encoding in LEGACY_ENCODINGS:
