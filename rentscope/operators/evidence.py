@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rentscope.functions import dates
 
@@ -73,7 +74,11 @@ def report(
     )
 
 
-def listing(report_: DataFrame, array: str) -> DataFrame:
+def listing(report_: DataFrame, array: str, head: int | None = None) -> DataFrame:
     """One of the report's arrays, such as ``forum_summary.top_districts``, as a table."""
-    rows = report_.select(F.posexplode(array).alias("position", "_row"))
-    return rows.select("position", "_row.*").orderBy("position")
+    values = F.col(array) if head is None else F.slice(array, 1, head)
+    rows = report_.select(F.posexplode(values).alias("position", "_row"))
+    nested = isinstance(rows.schema["_row"].dataType, StructType)
+    return rows.select("position", "_row.*" if nested else F.col("_row").alias("value")).orderBy(
+        "position"
+    )

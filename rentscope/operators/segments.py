@@ -8,6 +8,7 @@ the centroids enter the next plan as literals, so the plan does not grow.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -19,6 +20,7 @@ from rentscope import vocab
 
 FEATURES = ["area_ping", "rent_per_ping"]
 SEED = 42
+DRAW = 64
 
 
 def scaling(points: DataFrame, features: Sequence[str] = FEATURES) -> dict:
@@ -44,30 +46,20 @@ def scaled(points: DataFrame, scale: dict, features: Sequence[str] = FEATURES) -
     )
 
 
-def nearest(
-    centroids: Sequence[Sequence[float]], columns: Sequence[str]
-) -> tuple[Column, Column]:
-    """Least distance, and the lowest index of a centroid at that distance ``_least``."""
-    distances = [
-        sum(
-            (F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x)))
-            for c, x in zip(columns, centroid)
-        )
-        for centroid in centroids
-    ]
-    least = F.least(*distances) if len(distances) > 1 else distances[0]
-    place = F.lit(len(distances) - 1)
-    for i in reversed(range(len(distances) - 1)):
-        place = F.when(distances[i] == F.col("_least"), i).otherwise(place)
-    return least, place.cast("int")
-
-
 def assign(
     df: DataFrame, centroids: Sequence[Sequence[float]], columns: Sequence[str]
 ) -> DataFrame:
-    """Add ``cluster_id``, the nearest centroid of each row."""
-    least, place = nearest(centroids, columns)
-    return df.withColumn("_least", least).withColumn("cluster_id", place).drop("_least")
+    """Add ``cluster_id``, the nearest centroid of each row, the lowest one on a tie."""
+    gaps = [
+        " + ".join(f"(`{c}` - ({x!r}D)) * (`{c}` - ({x!r}D))" for c, x in zip(columns, centroid))
+        for centroid in ([float(x) for x in c] for c in centroids)
+    ]
+    names = [f"_gap{i}" for i in range(len(gaps))]
+    least = f"least({', '.join(names)})" if len(names) > 1 else names[0]
+    cases = " ".join(f"when {name} then {i}" for i, name in enumerate(names))
+    return df.selectExpr("*", *[f"{gap} as {name}" for gap, name in zip(gaps, names)]).selectExpr(
+        *[f"`{c}`" for c in df.columns], f"case {least} {cases} end as cluster_id"
+    )
 
 
 def moved(
@@ -93,8 +85,9 @@ def starting_points(
     """k rows to start from.
 
     With ``row_number`` (a dense column from 0, in arrival order) they are the rows a
-    seeded draw without replacement picks; else the first k by ``order``, by default
-    a seeded hash of the row.
+    seeded draw without replacement picks; else the first k different points by
+    ``order``, by default a seeded hash of the row. Copies of a row share a hash, so
+    equal points are passed over as long as there are others.
     """
     if row_number:
         drawn = [int(i) for i in np.random.default_rng(seed).choice(n, k, replace=False)]
@@ -103,8 +96,22 @@ def starting_points(
         return [found[i] for i in drawn]
     if order is None:
         order = F.xxhash64(F.lit(seed), *[F.col(c) for c in points.columns])
-    rows = points.select(order.alias("_order"), *columns).orderBy("_order", *columns).limit(k)
-    return [[row[c] for c in columns] for row in rows.collect()]
+    ordered = points.select(order.alias("_order"), *columns)
+    chosen: list[list[float]] = []
+    left = ordered
+    while len(chosen) < k:
+        rows = left.orderBy("_order", *columns).limit(DRAW * k).collect()
+        if not rows:
+            rows = ordered.orderBy("_order", *columns).limit(k).collect()
+            return [[row[c] for c in columns] for row in rows]
+        for row in rows:
+            point = [row[c] for c in columns]
+            if point not in chosen and len(chosen) < k:
+                chosen.append(point)
+        for point in chosen:
+            same = [F.col(c) == F.lit(x) for c, x in zip(columns, point)]
+            left = left.filter(~reduce(lambda x, y: x & y, same))
+    return chosen
 
 
 def kmeans(

@@ -47,7 +47,7 @@ def read_signals(
 
 def with_source_file(df: DataFrame, root: str = "") -> DataFrame:
     """The file each row came from, relative to ``root`` where it lies below it."""
-    path = F.col("_metadata.file_path")
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     if root:
         folder = root.rstrip("/") + "/"
         path = F.when(path.contains(folder), F.split_part(path, F.lit(folder), F.lit(-1))).otherwise(path)

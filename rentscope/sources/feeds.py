@@ -35,6 +35,17 @@ def review_entries(pages: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
+def with_app(pages: DataFrame, apps: DataFrame, country: str = "tw") -> DataFrame:
+    """Feed pages with name and country of their app, by ``app_id``.
+
+    The app list is short and is broadcast when the planner sees its size.
+    """
+    known = apps.select(
+        "app_id", "app_name", F.coalesce("country", F.lit(country)).alias("country")
+    )
+    return pages.join(known, "app_id")
+
+
 def interest_points(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per week with data: week and interest, beside the payload's other columns."""
     parsed = F.from_json(text.strip_json_guard(F.col(payload)), schemas.TREND_PAYLOAD)

@@ -122,6 +122,15 @@ def test_empty_cluster_stays_and_ties_go_low(spark):
     assert segments.scaling(same)["std"] == [1.0, 1.0]
 
 
+def test_starting_points_differ_among_copies(spark):
+    rows = [(1.0, 1.0)] * 900 + [(2.0, 2.0)] * 400 + [(3.0, 1.0)] * 300 + [(4.0, 4.0), (5.0, 5.0)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    for seed in range(5):
+        points = segments.starting_points(df, ["x", "y"], 4, seed=seed)
+        assert len({tuple(p) for p in points}) == 4
+    assert len(segments.starting_points(df.filter("x < 3"), ["x", "y"], 4)) == 4
+
+
 def test_labels(spark):
     rents = [1772.1, 3764.3, 1071.9, 1658.3]
     df = spark.createDataFrame(

@@ -447,15 +447,16 @@ def visible(html: str) -> str:
     return one_line(unescaped(bare))
 
 
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-]
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "#x27": "'", "#39": "'", "nbsp": " ", "copy": "©",
+    "middot": "·", "amp": "&",
+}
 
 
 def unescaped(t: str) -> str:
-    for entity, sign in ENTITIES:
-        t = f"replace({t}, '{entity}', {quoted(sign)})"
+    """Entities as signs; the semicolon may be missing where a title was cut off."""
+    for entity, sign in ENTITIES.items():
+        t = f"regexp_replace({t}, '&{entity}(?:;|\\b)', {quoted(sign)}, 'g')"
     return t
 
 
@@ -759,6 +760,14 @@ ORACLES = {
         from (select key, count(*) as n, min(doc_id) as first, min_by(place, doc_id) as place
               from (select doc_id, unnest(districts) as key, generate_subscripts(districts, 1) as place
                     from signals) group by key order by n desc, first, place limit 10)"""),
+    "loaded_open_data": with_(RAW, RENTAL, CLEAN, final="""
+        select count(*) as stored, cast(sum(rent_total_ntd) as bigint) as rent_ntd,
+               count(*) as csv_rows, count(*) as ingested, count(distinct district) as districts
+        from clean"""),
+    "price_source_files": f"""
+        select concat('folder=', pricing_plan_name) as folder, count(*) as n, count(product) as named,
+               cast(sum(manual_verified_price_ntd) as bigint) as verified
+        from ({tables.shape(tables.PRICE_SOURCES)}) where coalesce(enabled, true) group by 1""",
     "stored_transactions": with_(TX, final="""
         select district, building_type, count(*) as n, cast(sum(rent_ntd) as bigint) as rent_ntd,
                round(sum(rent_per_ping), 2) as rent_per_ping,

@@ -103,7 +103,8 @@ def post_signals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def review_rows(spark: SparkSession, sf: str) -> DataFrame:
-    found = reviews.to_signals(feeds.review_entries(tables.review_pages(spark, sf)), CHECKED_AT)
+    pages = feeds.with_app(tables.review_pages(spark, sf), tables.apps(spark, sf))
+    found = reviews.to_signals(feeds.review_entries(pages), CHECKED_AT)
     return reviews.since(found, FIRST_DAY)
 
 
@@ -263,8 +264,9 @@ def district_count(spark, sf):
 
 
 def dashboard_figures(spark, sf):
-    found = materialise(metrics.district_metrics(plausible(spark, sf)), "metrics")
-    clusters, _ = segments.segment(plausible(spark, sf), order=F.md5("row_key"))
+    rows = materialise(plausible(spark, sf), "transactions")
+    found = materialise(metrics.district_metrics(rows), "metrics")
+    clusters, _ = segments.segment(rows, order=F.md5("row_key"))
     figures = metrics.dashboard_figures(found, metrics.recommendations(found), clusters)
     return rounded(figures, "mean_confidence")
 
@@ -383,7 +385,8 @@ def _signal_view(found: DataFrame) -> DataFrame:
 
 
 def kept_signals(spark, sf):
-    boards = [articles(spark, sf).filter(f"doc_id % 2 = {half}") for half in (0, 1)]
+    rows = articles(spark, sf)
+    boards = [rows.filter(F.col("board") < "src5"), rows.filter(F.col("board") >= "src5")]
     return _signal_view(jobs.forum_signals(boards, per_board=10, local_only=True, since=SINCE))
 
 
@@ -612,11 +615,10 @@ def stored_transactions(spark, sf):
 
 
 def metrics_pipeline(spark, sf):
-    """Metrics, bands and clusters published together, with the job's counts."""
+    """Stored transactions to metrics, bands and clusters, published together."""
     root = scratch_path(spark, "warehouse")
-    counts = jobs.run_metrics(
-        plausible(spark, sf).drop("transaction_date"), root, order=F.xxhash64("area_ping")
-    )
+    warehouse.save_transactions(plausible(spark, sf).drop("row_key"), f"{root}/transactions")
+    counts = jobs.run_metrics(documents.load_transactions(spark, f"{root}/transactions"), root)
     recs = warehouse.current(spark, root, "pricing_recommendations")
     sized = warehouse.current(spark, root, "rental_clusters").agg(
         F.sum("sample_size").alias("clustered")
@@ -633,8 +635,9 @@ def metrics_pipeline(spark, sf):
 def snapshots(spark, sf):
     """The exported listings, read back and put together."""
     path = scratch_path(spark, "snapshots")
-    found = materialise(metrics.district_metrics(plausible(spark, sf)), "metrics")
-    clusters, _ = segments.segment(plausible(spark, sf), order=F.md5("row_key"))
+    rows = materialise(plausible(spark, sf), "transactions")
+    found = materialise(metrics.district_metrics(rows), "metrics")
+    clusters, _ = segments.segment(rows, order=F.md5("row_key"))
     files.export_snapshots(
         found, metrics.recommendations(found), clusters, _stamped(spark, sf), path
     )
@@ -669,12 +672,41 @@ def signal_files(spark, sf):
     )
 
 
+def loaded_open_data(spark, sf):
+    """Raw rows cleaned, written as CSV files and loaded, with what the job tells."""
+    path = scratch_path(spark, "open-data")
+    told = jobs.clean_and_load(raw_rent(spark, sf), path, f"{path}/table")
+    table = documents.load_transactions(spark, f"{path}/table").agg(
+        F.count(F.lit(1)).alias("stored"), F.sum("rent_ntd").alias("rent_ntd")
+    )
+    csv = rent_csv.read_ingest_csv(spark, told["ingest_csv"]).agg(
+        F.count(F.lit(1)).alias("csv_rows"),
+        F.lit(told["ingested"]).cast("bigint").alias("ingested"),
+        F.lit(told["districts"]).cast("bigint").alias("districts"),
+    )
+    return metrics.one_row(table, csv)
+
+
+def price_source_files(spark, sf):
+    """The source list written by plan, read back with its file of origin."""
+    path = scratch_path(spark, "sources")
+    rows = sources(spark, sf)
+    rows.withColumn("folder", F.col("pricing_plan_name")).write.partitionBy("folder").json(path)
+    read = documents.read_json(spark, path, schemas.PRICE_SOURCES, multi_line=False)
+    named = documents.with_source_file(benchmarks.enabled(read), path)
+    folder = F.split_part("source_file", F.lit("/"), F.lit(1))
+    return named.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("product").alias("named"),
+        F.sum("manual_verified_price_ntd").alias("verified"),
+    )
+
+
 def streamed_transactions(spark, sf):
     """Ingest files appended as a stream, in two calls, and summed up."""
     path = scratch_path(spark, "stream")
     rows = transactions(spark, sf).drop("row_key").withColumn("source", F.lit("stream"))
-    for half in (0, 1):
-        part = rows.filter(F.col("rent_ntd") % 2 == half)
+    early = F.col("transaction_date") < "2000-01-01"
+    for part in (rows.filter(early), rows.filter(~early)):
         part.write.mode("append").csv(f"{path}/in", header=True)
         stream_ingest.append_new_files(spark, f"{path}/in", f"{path}/table", f"{path}/progress")
     return spark.read.parquet(f"{path}/table").groupBy("district").agg(
@@ -695,7 +727,7 @@ QUERIES = {
         "forum_summary forum_overview review_signals review_summary page_text page_numbers "
         "document_numbers price_records verified_benchmarks price_summary price_report "
         "index_pages post_pages interest_series interest_stats interest_summary "
-        "evidence_report report_districts stored_transactions metrics_pipeline snapshots "
+        "evidence_report report_districts loaded_open_data price_source_files stored_transactions metrics_pipeline snapshots "
         "signal_files streamed_transactions"
     ).split()
 }

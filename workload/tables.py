@@ -184,7 +184,13 @@ def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.to_json(F.struct(F.struct(inner.alias("entry")).alias("feed")))
 
     payload = F.when(F.col("conv_id") % 2 == 0, page(F.array(entry))).otherwise(page(entry))
-    return rows.select("app_name", "app_id", "country", payload.alias("payload"))
+    return rows.select("app_id", payload.alias("payload"))
+
+
+def apps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The apps the reviews are about; the country is left to its default."""
+    unset = F.lit(None).cast("string").alias("country")
+    return table(spark, sf_dir, REVIEWS).select("app_name", "app_id", unset).distinct()
 
 
 def trend_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
