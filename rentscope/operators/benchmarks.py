@@ -199,6 +199,7 @@ def report_summary(
             median.cast("bigint").alias("median_monthly_like_price_ntd"),
             F.lit(NOTE).alias("note"),
         ),
+        rows.agg((F.count(F.lit(1)) > 0).alias("available")),
         _listed(others, inline_rows),
         _first_values(counts, "price", 50, "int", "candidate_price_values_ntd"),
     )

@@ -42,8 +42,7 @@ def review_section(summary: DataFrame, source_file: str = "") -> DataFrame:
 
 
 def price_section(summary: DataFrame, source_file: str = "") -> DataFrame:
-    found = summary.withColumn("available", F.col("pages_checked") > 0)
-    return _section(found, "competitor_pricing_summary", source_file)
+    return _section(summary, "competitor_pricing_summary", source_file)
 
 
 def absent_section(spark, name: str, source_file: str = "") -> DataFrame:

@@ -14,6 +14,8 @@ from rentscope.functions import dates
 SERIES_SOURCE = "Google Trends public widget API"
 SOURCE = "Google Trends"
 METHOD = "Google Trends public widget API (interest_over_time)"
+FAILED = "Google Trends request failed: "
+PARTIAL = "Partial Google Trends failures: "
 NOTE = (
     "Google Trends values are relative search interest scores from 0 to 100, "
     "not absolute search volume."
@@ -41,11 +43,11 @@ def failure_note(found: DataFrame, keywords: Sequence[str]) -> str | None:
     """Which of the asked keywords have no data; None if all have some."""
     names = list(keywords)
     rows = found.filter(F.col("keyword").isin(names)).select("keyword").distinct().collect()
-    missing = [k for k in names if k not in {row.keyword for row in rows}]
+    present = {row.keyword for row in rows}
+    missing = "; ".join(f"{k}: empty timeline" for k in names if k not in present)
     if not missing:
         return None
-    head = "Partial" if rows else "All"
-    return f"{head} keyword series empty: {', '.join(missing)}"
+    return (PARTIAL if present else FAILED) + missing
 
 
 FIELDS = ["keyword", "mean_interest", "max_interest", "latest_interest", "weeks_observed"]

@@ -30,10 +30,14 @@ def recent(date: Column, since: dt.datetime | None) -> Column:
 def newest_articles(
     articles: DataFrame, per_board: int | None = 80, since: dt.datetime | None = None
 ) -> DataFrame:
-    """Each board's newest articles, every address once and its newest copy kept."""
+    """Each board's newest articles, every address once and its newest copy kept.
+
+    An article is as recent as its newest copy, so older copies go before they are compared.
+    """
     dated = articles.withColumn("posted_at", dates.forum_timestamp(F.col("date")))
-    latest = ranking.newest_per_key(dated, ["board", "url"], ["posted_at", "title", "content"])
-    kept = latest if since is None else latest.filter(F.col("posted_at") >= F.lit(since))
+    if since is not None:
+        dated = dated.filter(F.col("posted_at") >= F.lit(since))
+    kept = ranking.newest_per_key(dated, ["board", "url"], ["posted_at", "title", "content"])
     if per_board is not None:
         order = [F.col("posted_at").desc_nulls_last(), F.col("url")]
         kept = ranking.newest_per_group(kept, "board", order, per_board, ["url"])

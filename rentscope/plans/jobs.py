@@ -6,8 +6,10 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rentscope import schemas, vocab
+from rentscope.functions import dates
 from rentscope.operators import benchmarks, cleaning, evidence, interest, metrics, segments
 from rentscope.operators import reviews as review_ops
 from rentscope.operators import signals as signal_ops
@@ -18,14 +20,14 @@ from rentscope.sources import feeds
 
 
 def clean_open_data(
-    raw: DataFrame, output: str | None = None
+    raw: DataFrame, output: str | None = None, require_rows: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clean rent rows, their ingest form and the district summary.
 
     The clean rows are stored once and everything else is derived from that copy, so
     the raw text is parsed a single time.
     """
-    rent = materialise(cleaning.clean_rent(cleaning.rental_rows(raw)), "rent")
+    rent = materialise(cleaning.clean_rent(cleaning.rental_rows(raw, require_rows)), "rent")
     ingest = cleaning.to_ingest(rent)
     summary = metrics.district_summary(rent)
     if output:
@@ -37,7 +39,7 @@ def clean_open_data(
 
 def clean_and_load(raw: DataFrame, output: str, table: str, replace: bool = True) -> dict:
     """Clean open data, load the transaction table and tell what was loaded."""
-    _, ingest, _ = clean_open_data(raw, output)
+    _, ingest, _ = clean_open_data(raw, output, require_rows=True)
     count = warehouse.save_transactions(ingest, table, replace)
     districts = metrics.distinct_districts(ingest).first()["districts"]
     return {
@@ -91,8 +93,10 @@ def forum_signals(
         signal_ops.keep(local_only, since)
     )
     if output:
-        files.write_rows(found, f"{output}/signals")
-        files.write_csv(found, f"{output}/signals_csv")
+        found = materialise(found, "signals")
+        told = found.withColumn("posted_at", dates.iso(F.col("posted_at"), "yyyy-MM-dd'T'HH:mm:ss"))
+        files.write_rows(told, f"{output}/signals")
+        files.write_csv(told, f"{output}/signals_csv")
     return found
 
 

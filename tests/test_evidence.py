@@ -149,7 +149,7 @@ def test_interest(spark, tmp_path):
     row = summary.first()
     assert row.top_keyword_by_mean_interest == "a" and row.available
     assert [tuple(x) for x in row.keyword_stats] == [("a", 65.0, 80, 80.0, 2), ("b", 50.0, 50, 50.0, 1)]
-    assert row.note == "Partial keyword series empty: none"
+    assert row.note == "Partial Google Trends failures: none: empty timeline"
     nothing = interest.combine(spark, [], "today 12-m", "TW")
     empty = interest.summary(nothing, "2024-01-01 2024-12-31", "TW").first()
     assert empty.available is False and empty.top_keyword_by_mean_interest is None
@@ -176,6 +176,10 @@ def test_report(spark, tmp_path):
     nothing = jobs.evidence_report(spark, "mybrand").first()
     assert nothing.forum_summary.threads_analyzed == 0
     assert nothing.competitor_pricing_summary.available is False
+    own = records.filter("product = 'MyBrand Pro'")
+    only_own = jobs.evidence_report(spark, "mybrand", price_records=own).first()
+    assert only_own.competitor_pricing_summary.available is True
+    assert only_own.competitor_pricing_summary.pages_checked == 0
 
 
 def test_documents(spark, tmp_path):

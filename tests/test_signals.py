@@ -143,6 +143,8 @@ def test_job_writes_threads_signals_and_csv(spark, tmp_path):
     assert [r.thread_id for r in found.collect()] == ["M.1"]
     threads = spark.read.json(f"{out}/threads")
     assert threads.count() == 2 and "content" not in threads.columns
+    stored = spark.read.json(f"{out}/signals").first()
+    assert stored.posted_at == "2024-07-05T10:00:00" and stored.districts == ["大安"]
     first = next((tmp_path / "signals_csv").glob("part-*")).read_bytes()
     assert first.startswith(b"\xef\xbb\xbf")
     csv = spark.read.csv(f"{out}/signals_csv", header=True, escape='"', multiLine=True).first()

@@ -225,7 +225,7 @@ def recommendations_filtered(spark, sf):
 
 def _quotes(spark, sf):
     found = rounded(metrics.district_metrics(plausible(spark, sf)), *METRIC_FIGURES)
-    return quotes.quote(requests(spark, sf), found)
+    return quotes.quote(requests(spark, sf), materialise(found, "metrics"))
 
 
 def batch_quotes(spark, sf):
