@@ -114,6 +114,23 @@ def starting_points(
     return chosen
 
 
+def rounds(
+    df: DataFrame,
+    columns: Sequence[str],
+    centroids: Sequence[Sequence[float]],
+    max_iter: int = 10,
+) -> list[list[float]]:
+    """Centroids after at most ``max_iter`` rounds; stops once no centroid moves."""
+    centroids = [list(map(float, c)) for c in centroids]
+    for _ in range(max_iter):
+        updated = moved(df, centroids, columns)
+        still = np.allclose(centroids, updated, atol=1e-4)
+        centroids = updated
+        if still:
+            break
+    return centroids
+
+
 def kmeans(
     df: DataFrame,
     columns: Sequence[str],
@@ -122,21 +139,15 @@ def kmeans(
     init: Sequence[Sequence[float]] | None = None,
     **start,
 ) -> list[list[float]]:
-    """Centroids after at most ``max_iter`` rounds; stops once no centroid moves."""
-    centroids = [list(map(float, c)) for c in (init or starting_points(df, columns, k, **start))]
-    if len(centroids) < k:
-        raise ValueError(f"need at least {k} points, got {len(centroids)}")
+    """Centroids of the rows of ``df``, started from ``init`` or ``starting_points``."""
+    first = init or starting_points(df, columns, k, **start)
+    if len(first) < k:
+        raise ValueError(f"need at least {k} points, got {len(first)}")
     kept = df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for _ in range(max_iter):
-            updated = moved(kept, centroids, columns)
-            still = np.allclose(centroids, updated, atol=1e-4)
-            centroids = updated
-            if still:
-                break
+        return rounds(kept, columns, first, max_iter)
     finally:
         kept.unpersist()
-    return centroids
 
 
 def label(clusters: DataFrame, labels: Sequence[str] = vocab.SEGMENT_LABELS) -> DataFrame:
@@ -153,36 +164,54 @@ def segment(
     k: int = 4,
     max_iter: int = 10,
     init: Sequence[Sequence[float]] | None = None,
-    **start,
+    order: Column | None = None,
+    row_number: str | None = None,
+    seed: int = SEED,
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Clusters in raw units with label and size, and the transactions with their cluster.
 
-    ``init`` holds scaled starting points. Both are None with fewer than k rows.
+    ``init`` holds scaled starting points. Both are None with fewer than k rows. The
+    transactions are read once: the two features and what orders the rows are kept for
+    the statistics, the starting points, all rounds and the sizes.
     """
     points = transactions.dropna(subset=FEATURES)
-    scale = scaling(points)
-    if scale["n"] < k:
-        return None, None
-    if start.get("row_number"):
-        start["n"] = scale["n"]
+    if order is None:
+        order = F.xxhash64(F.lit(seed), *[F.col(c) for c in points.columns])
+    named = [row_number] if row_number else []
+    kept = points.select(*FEATURES, *named, order.alias("_order"))
+    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     columns = [f"z{i}" for i in range(len(FEATURES))]
-    ready = scaled(points, scale)
-    centroids = kmeans(ready, columns, k, max_iter, init, **start)
-    assigned = assign(ready, centroids, columns).drop(*columns)
-    sizes = assigned.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("sample_size"))
-    raw = [
-        (i, *[z * s + m for z, s, m in zip(c, scale["std"], scale["mean"])])
+    try:
+        scale = scaling(kept)
+        if scale["n"] < k:
+            return None, None
+        if init is None:
+            raw = starting_points(
+                kept, FEATURES, k, F.col("_order"), row_number, scale["n"], seed
+            )
+            init = [
+                [(x - m) / s for x, m, s in zip(p, scale["mean"], scale["std"])] for p in raw
+            ]
+        ready = scaled(kept, scale).select(*columns)
+        centroids = rounds(ready, columns, init, max_iter)
+        sizes = assign(ready, centroids, columns).groupBy("cluster_id").count().collect()
+    finally:
+        kept.unpersist()
+    size = {row["cluster_id"]: row["count"] for row in sizes}
+    rows = [
+        (i, *[z * s + m for z, s, m in zip(c, scale["std"], scale["mean"])], size.get(i, 0))
         for i, c in enumerate(centroids)
     ]
     clusters = transactions.sparkSession.createDataFrame(
-        raw, "cluster_id int, centroid_area_ping double, centroid_rent_per_ping double"
+        rows,
+        "cluster_id int, centroid_area_ping double, centroid_rent_per_ping double, "
+        "sample_size bigint",
     )
-    named = label(clusters.join(sizes, "cluster_id", "left"))
+    assigned = assign(scaled(points, scale), centroids, columns).drop(*columns)
     return (
-        named.select(
+        label(clusters).select(
             "cluster_id", "segment_label", "centroid_area_ping", "centroid_rent_per_ping",
-            F.coalesce("sample_size", F.lit(0)).cast("bigint").alias("sample_size"),
-            F.current_timestamp().alias("updated_at"),
+            "sample_size", F.current_timestamp().alias("updated_at"),
         ),
         assigned,
     )

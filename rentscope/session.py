@@ -51,11 +51,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+FEW_PIECES = 64
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a scan over all cores, if its files make fewer pieces than there are cores.
+    """Rows of a scan over all cores, if its files make only a few pieces.
 
-    A piece is at most ``spark.sql.files.maxPartitionBytes`` long, so only a table of
-    known small size is ever moved; a large one is returned as it is.
+    A piece is at most ``spark.sql.files.maxPartitionBytes`` long and at most
+    ``FEW_PIECES`` of them are moved, so the moved table is small; any other is
+    returned as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    pieces = scan.rdd.getNumPartitions()
+    return scan.repartition(cores) if pieces < min(cores, FEW_PIECES) else scan
