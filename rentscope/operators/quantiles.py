@@ -6,8 +6,8 @@ largest group stays under ``max_group_rows``. Beyond it the answer is narrowed d
 
 1. one scan sketches, per group and quantile, a bracket of values around the wanted
    rank;
-2. one scan counts the rows below each bracket and the rows per value inside it, all
-   of it pre-aggregated before the shuffle;
+2. two scans count the rows below each bracket and the rows per value inside it, both
+   pre-aggregated before the shuffle;
 3. the counts prove that the bracket holds the wanted rank (a miss widens it);
 4. a bracket with too many distinct values is cut into bins until it has few enough,
    and the wanted ranks are read from what is left.
@@ -18,6 +18,7 @@ No step brings a group's rows together, so one key may hold any share of the tab
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,9 +55,9 @@ def aggregate(
         return _direct(rows, keys, quantiles, others)
 
     found = narrowed(rows, keys, quantiles, max_group_rows)
-    if not others:
+    if not keys and not others:
         return found
-    counted = rows.groupBy(*keys).agg(*others)
+    counted = rows.groupBy(*keys).agg(*others) if others else rows.select(*keys).distinct()
     if keys:
         return counted.join(found, list(keys), "left")
     one = F.lit(1).alias("_one")
@@ -127,66 +128,76 @@ def narrowed(
 
 
 def _brackets(rows, keys, quantiles, margin, accuracy) -> DataFrame:
-    """Per group an array with, for each quantile, its rank and a value range around it."""
+    """Per group and quantile i: ``_rank{i}``, and a value range ``_from{i}``, ``_to{i}``."""
     edges: dict[str, list[float]] = {}
-    specs = []
+    ranges = []
     for i, (column, p) in enumerate(quantiles.values()):
         low, high = p - margin, p + margin
         known = edges.setdefault(column, [])
         sketched = [F.get(f"_e_{column}", F.lit(len(known) + side)) for side in (0, 1)]
         known += [max(low, 0.0), min(high, 1.0)]
-        specs.append(
-            F.struct(
-                F.lit(i).alias("_spec"),
-                ((F.col(f"_n_{column}") - 1) * F.lit(p)).alias("_rank"),
-                (F.col(f"_min_{column}") if low <= 0 else sketched[0]).alias("_from"),
-                (F.col(f"_max_{column}") if high >= 1 else sketched[1]).alias("_to"),
-            )
-        )
-    sketches = [
-        F.percentile_approx(c, F.array(*map(F.lit, ps)), F.lit(accuracy)).alias(f"_e_{c}")
-        for c, ps in edges.items()
-    ]
-    columns = sorted({column for column, _ in quantiles.values()})
+        ranges += [
+            ((F.col(f"_n_{column}") - 1) * F.lit(p)).alias(f"_rank{i}"),
+            (F.col(f"_min_{column}") if low <= 0 else sketched[0]).alias(f"_from{i}"),
+            (F.col(f"_max_{column}") if high >= 1 else sketched[1]).alias(f"_to{i}"),
+        ]
     spans = [
         c
-        for name in columns
+        for name in edges
         for c in (
             F.count(name).alias(f"_n_{name}"),
             F.min(name).alias(f"_min_{name}"),
             F.max(name).alias(f"_max_{name}"),
         )
     ]
+    sketches = [
+        F.percentile_approx(c, F.array(*map(F.lit, ps)), F.lit(accuracy)).alias(f"_e_{c}")
+        for c, ps in edges.items()
+    ]
     groups = rows.groupBy(*keys).agg(*spans, *sketches)
-    return materialise(groups.select(*keys, F.array(*specs).alias("_specs")), "quantile-brackets")
+    return materialise(groups.select(*keys, *ranges), "quantile-brackets")
 
 
 def _counts(rows, keys, quantiles, brackets) -> DataFrame:
-    """Rows per value inside each bracket; a null value stands for all rows below it."""
+    """Rows per value inside each bracket; a null value stands for all rows below it.
+
+    The rows below are counted by plain sums; only the few rows inside some bracket are
+    taken apart.
+    """
     if keys:
         joined = rows.join(brackets, list(keys))
     else:
         one = F.lit(1).alias("_one")
         joined = rows.select("*", one).join(brackets.select("*", one), "_one").drop("_one")
-    cells = []
-    for i, (column, _) in enumerate(quantiles.values()):
-        spec, value = F.get("_specs", F.lit(i)), F.col(column)
-        cells.append(
-            F.when(
-                value <= spec["_to"],
-                F.struct(
-                    F.lit(i).alias("_spec"),
-                    spec["_rank"].alias("_rank"),
-                    F.when(value >= spec["_from"], value).alias("_value"),
-                ),
-            )
+
+    def cell(i, value, count):
+        return F.struct(
+            F.lit(i).alias("_spec"), F.col(f"_rank{i}").alias("_rank"), value.alias("_value"),
+            count.alias("_count"),
         )
-    listed = joined.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("_c"))
-    return (
-        listed.select(*keys, "_c.*")
+
+    below, under, within, cells = [], [], [], []
+    for i, (column, _) in enumerate(quantiles.values()):
+        value = F.col(column)
+        below += [
+            F.sum(F.when(value < F.col(f"_from{i}"), 1).otherwise(0)).alias(f"_below{i}"),
+            F.max(f"_rank{i}").alias(f"_rank{i}"),
+        ]
+        under.append(cell(i, F.lit(None).cast("double"), F.col(f"_below{i}")))
+        inside = value.between(F.col(f"_from{i}"), F.col(f"_to{i}"))
+        within.append(F.coalesce(inside, F.lit(False)))
+        cells.append(F.when(inside, cell(i, value, F.lit(1).cast("bigint"))))
+
+    lower = joined.groupBy(*keys).agg(*below)
+    lower = lower.select(*keys, F.explode(F.array(*under)).alias("_c")).filter("_c._count > 0")
+    found = joined.filter(reduce(lambda x, y: x | y, within))
+    found = found.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("_c"))
+    by_value = (
+        found.select(*keys, "_c.*")
         .groupBy(*keys, "_spec", "_rank", "_value")
-        .agg(F.count(F.lit(1)).alias("_count"))
+        .agg(F.sum("_count").alias("_count"))
     )
+    return by_value.unionByName(lower.select(*keys, "_c.*"))
 
 
 def _misses(counts: DataFrame) -> bool:

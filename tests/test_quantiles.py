@@ -77,3 +77,10 @@ def test_of_counts(spark):
     df = spark.createDataFrame([(1, 3), (5, 1), (9, 4)], "v int, n int")
     got = df.agg(quantiles.of_counts("v", "n", 0.5).alias("m")).first().m
     assert got == np.median([1, 1, 1, 5, 9, 9, 9, 9])
+
+
+def test_group_without_values(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "g string, v double")
+    for limit in (0, 100):
+        got = quantiles.aggregate(df, ["g"], {"m": ("v", 0.5)}, max_group_rows=limit)
+        assert {r.g: r.m for r in got.collect()} == {"a": 2.0, "b": None}
