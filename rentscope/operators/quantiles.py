@@ -106,22 +106,26 @@ def narrowed(
             break
         margin *= 16
 
-    by = [*keys, "_spec"]
-    while _most_values(counts, by) > max_values:
+    # The two ranks a quantile lies between are looked for apart, so that a cut always
+    # leaves a single bin.
+    ranks = [
+        F.struct(F.lit(i).alias("_end"), place.cast("bigint").alias("_at"))
+        for i, place in enumerate((F.floor("_rank"), F.ceil("_rank")))
+    ]
+    counts = counts.select("*", F.inline(F.array(*ranks)))
+    by = [*keys, "_spec", "_end"]
+    while _most_values(counts, by) > max(max_values, 1):
         counts = materialise(_cut(counts, by), "quantile-counts")
 
     running = W.partitionBy(*by).orderBy(F.col("_value").asc_nulls_first()).rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
-    ranked = counts.withColumn("_upto", F.sum("_count").over(running))
-    inside = F.col("_value").isNotNull()
-    ends = ranked.groupBy(*by).agg(
-        F.min(F.when(inside & (F.col("_upto") > F.floor("_rank")), F.col("_value"))).alias("_lo"),
-        F.min(F.when(inside & (F.col("_upto") > F.ceil("_rank")), F.col("_value"))).alias("_hi"),
-        F.max("_rank").alias("_rank"),
+    reached = counts.withColumn("_upto", F.sum("_count").over(running)).filter(
+        F.col("_value").isNotNull() & (F.col("_upto") > F.col("_at"))
     )
-    part = F.col("_rank") - F.floor("_rank")
-    point = ends.withColumn("_q", F.col("_lo") * (1 - part) + F.col("_hi") * part)
+    part = F.max("_rank") - F.floor(F.max("_rank"))
+    ends = [F.min(F.when(F.col("_end") == end, F.col("_value"))) for end in (0, 1)]
+    point = reached.groupBy(*keys, "_spec").agg((ends[0] * (1 - part) + ends[1] * part).alias("_q"))
     return point.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_spec") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
     )
@@ -217,7 +221,10 @@ def _most_values(counts: DataFrame, by: Sequence[str]) -> int:
 
 
 def _cut(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Keep only the bins of each bracket that hold its wanted ranks."""
+    """Keep the one bin of each bracket that holds its rank, and a count of what is below.
+
+    The least and the greatest value fall into different bins, so every cut drops some.
+    """
     spans = counts.groupBy(*by).agg(F.min("_value").alias("_from"), F.max("_value").alias("_to"))
     spans = materialise(spans, "quantile-spans")
     place = (F.col("_value") - F.col("_from")) / F.nullif(
@@ -227,17 +234,17 @@ def _cut(counts: DataFrame, by: Sequence[str]) -> DataFrame:
         F.least(F.floor(F.coalesce(place, F.lit(0.0)) * BINS), F.lit(BINS - 1))
     )
     binned = counts.join(spans, list(by)).withColumn("_bin", bin_).drop("_from", "_to")
-    totals = binned.groupBy(*by, "_bin").agg(
-        F.sum("_count").alias("_in_bin"), F.max("_rank").alias("_r")
-    )
+    totals = binned.groupBy(*by, "_bin").agg(F.sum("_count").alias("_in"), F.max("_at").alias("_r"))
     running = W.partitionBy(*by).orderBy("_bin").rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = totals.withColumn("_upto", F.sum("_in_bin").over(running))
-    start = F.col("_upto") - F.col("_in_bin")
-    # -1: below every wanted rank, 0: holds one, 1: above.
-    side = F.when(F.col("_upto") <= F.floor("_r"), -1).when(start > F.ceil("_r"), 1).otherwise(0)
+    totals = totals.withColumn("_upto", F.sum("_in").over(running))
+    start = F.col("_upto") - F.col("_in")
+    # -1: below the rank, 0: holds it, 1: above.
+    side = F.when(F.col("_upto") <= F.col("_r"), -1).when(start > F.col("_r"), 1).otherwise(0)
     sides = materialise(totals.select(*by, "_bin", side.alias("_side")), "quantile-bins")
     kept = binned.join(sides, [*by, "_bin"]).filter("_side <= 0")
-    value = F.when((F.col("_side") == 0), F.col("_value"))
-    return kept.withColumn("_value", value).groupBy(*by, "_rank", "_value").agg(
-        F.sum("_count").alias("_count")
+    value = F.when(F.col("_side") == 0, F.col("_value"))
+    return (
+        kept.withColumn("_value", value)
+        .groupBy(*by, "_rank", "_at", "_value")
+        .agg(F.sum("_count").alias("_count"))
     )

@@ -63,6 +63,16 @@ def test_cutting_brackets(spark):
     np.testing.assert_allclose([got.a, got.b], np.percentile(values, [50, 12.3]), rtol=1e-12)
 
 
+def test_cluster_before_a_gap(spark):
+    """The two ranks around the median lie far apart, at the end of a dense run."""
+    df = spark.range(600).select(
+        F.when(F.col("id") < 300, 1 + F.col("id") * 1e-9).otherwise(1e9 + F.col("id")).alias("v")
+    )
+    got = quantiles.narrowed(df, [], {"m": ("v", 0.5)}, 2, 10).first().m
+    values = [1 + i * 1e-9 if i < 300 else 1e9 + i for i in range(600)]
+    np.testing.assert_allclose(got, np.median(values), rtol=1e-12)
+
+
 def test_aggregate_chooses_by_size(spark):
     df, rows = skewed(spark)
     others = [F.count(F.lit(1)).alias("n")]
