@@ -218,7 +218,8 @@ def _labels(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
         .where("c > 1")
         .select("key", "head")
     )
-    members = materialise(keys.join(heads, "key"), "near-buckets")
+    # Stored first, so that a hot bucket of the join can be split.
+    members = materialise(keys.join(materialise(heads, "near-heads"), "key"), "near-buckets")
     sizes = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
     star = members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("n").alias("n_b"))
     star = materialise(_fits(star.distinct().join(sizes, "a"), percent), "near-star")
@@ -229,6 +230,7 @@ def _labels(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
     # Buckets whose classes are not yet all of one component.
     placed = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
     mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+    mixed = materialise(mixed, "near-mixed")
     open_ = materialise(placed.join(mixed, "key"), "near-open")
     left = open_.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"))
     right = open_.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"))
