@@ -182,7 +182,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     """
     seeds = _seeds(docs, window, seed)
     often = seeds.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-    found = materialise(seeds.join(often, "anchor"), "repeat-seeds")
+    # Counts are stored before they are joined back, so that a hot anchor can be split.
+    found = materialise(seeds.join(materialise(often, "repeat-anchors"), "anchor"), "repeat-seeds")
     classes = materialise(
         found.groupBy("anchor", "extent").agg(
             F.count(F.lit(1)).alias("c"),
@@ -192,7 +193,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
         "repeat-classes",
     )
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("anchor")
-    unsure = materialise(classes.join(several, "anchor"), "repeat-unsure")
+    unsure = materialise(classes.join(materialise(several, "repeat-several"), "anchor"), "repeat-unsure")
     out = materialise(
         _handed_out(_texts(docs), unsure.select("one.doc_id", "one.text_key", "extent"), window, seed),
         "repeat-windows",
@@ -204,6 +205,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
         .where("lo < hi")
         .select("anchor", "content")
     )
+    shared = materialise(shared, "repeat-shared")
     partly = (
         out.join(shared, ["anchor", "content"])
         .groupBy("anchor", "extent")
