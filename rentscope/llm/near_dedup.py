@@ -11,9 +11,10 @@ Bands of ``BAND_ROWS`` coordinates give bucket keys. 40 bands of 5 miss a pair o
 with a probability of 1.3e-7. Then:
 
 1. rows with equal sets become one class, so copies cost one row each from here on;
-2. every class of a bucket is compared with the least one in it (a star, not all pairs);
-3. where the links found leave several components in a bucket, the pairs across its
-   components are compared as well, so no link that could join two components is missed;
+2. every class of a bucket is compared with one head of it (a star, not all pairs);
+3. where the links found leave several components in a bucket, the pairs across its components
+   are compared as well, so no link that could join two components is missed. A bound from
+   the shingles that only one class has rules most of them out before pairs are made;
 4. a link counts if the whole sets of words, taken from the texts, have
    100 * intersection >= 80 * union.
 
@@ -32,7 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentscope.llm.common import WordHashes, batch_of, draws, keyed_texts, mix, signed
@@ -166,7 +167,8 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
+    # Pairs grow with the table, so they are joined alike at every size: none is broadcast.
+    rows = pairs.hint("merge").join(one, "a").hint("merge").join(two, "b").select("a", "b", "text_a", "text_b")
     return materialise(rows.mapInArrow(run, LINK_DDL), "near-links")
 
 
@@ -211,40 +213,91 @@ def _marked(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 def _labels(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, label) of the classes that are linked with others."""
-    keys = classes.select("node", "n", F.explode("bands").alias("key"))
-    heads = (
-        keys.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("head"))
-        .where("c > 1")
-        .select("key", "head")
-    )
-    # Stored first, so that a hot bucket of the join can be split.
-    members = materialise(keys.join(materialise(heads, "near-heads"), "key"), "near-buckets")
+    members = _buckets(classes)
     sizes = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
     star = members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("n").alias("n_b"))
     star = materialise(_fits(star.distinct().join(sizes, "a"), percent), "near-star")
     texts = _texts(docs, classes, members)
     links = verified(star, texts, size, percent)
     labels = components(links.where("linked"))
+    across = _across(members, labels, texts, size, percent)
+    pairs = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    done = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = verified(materialise(pairs.join(done, ["a", "b"], "left_anti"), "near-across"), texts, size, percent)
+    more = more.where("linked")
+    if more.isEmpty():
+        return labels
+    return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more.select("a", "b")))
+
+
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(key, node, n, head): the classes of every bucket of two or more, and its head.
 
-    # Buckets whose classes are not yet all of one component.
+    The head is the class whose own buckets are the fullest: among copies with edits of their
+    own that is the text they come from, which most of them are linked with.
+    """
+    keys = classes.select("node", "n", F.explode("bands").alias("key"))
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    # Counts are stored before they are joined back, so that a hot bucket can be split.
+    members = materialise(keys.join(materialise(counts, "near-counts"), "key"), "near-members")
+    weights = materialise(members.groupBy("node").agg(F.sum("c").alias("w")), "near-weights")
+    heads = members.join(weights, "node").groupBy("key").agg(F.max(F.struct("w", -F.col("node"))).alias("top"))
+    heads = materialise(heads.select("key", (-F.col("top.col2")).alias("head")), "near-heads")
+    return materialise(members.drop("c").join(heads, "key"), "near-buckets")
+
+
+def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components that may still be linked.
+
+    Of a class with n shingles, u of which no other class of these buckets has, at most n - u
+    can be shared with any of them. This bound drops most classes of a large bucket one by one,
+    before pairs are made, and it never drops a link.
+    """
     placed = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
-    mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    mixed = materialise(mixed, "near-mixed")
-    open_ = materialise(placed.join(mixed, "key"), "near-open")
-    left = open_.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"))
-    across = _fits(
+
+    def still_mixed(rows: DataFrame, label: str) -> DataFrame:
+        spans = rows.groupBy("key").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("least_n")
+        )
+        spans = materialise(spans.where("lo < hi").select("key", "least_n"), label)
+        return rows.join(spans, "key")
+
+    mixed = materialise(still_mixed(placed, "near-mixed-keys"), "near-mixed")
+    own = _own_shingles(texts.join(mixed.select("node").distinct(), "node", "left_semi"), size)
+    bounded = mixed.join(own, "node", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+
+    def possible(shared: Column, total: Column) -> Column:
+        return shared * 100 >= (total - shared) * percent
+
+    bounded = bounded.where(possible(F.col("most"), F.col("n") + F.greatest("most", "least_n")))
+    rest = materialise(still_mixed(materialise(bounded.drop("least_n"), "near-bounded"), "near-rest-keys"), "near-rest")
+    left, right = (
+        rest.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "most"))) for x in "ab"
+    )
+    able = possible(F.least("most_a", "most_b"), F.col("n_a") + F.col("n_b"))
+    return (
         left.join(right, "key")
-        .where("l_a < l_b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n_a", "n_b"),
-        percent,
+        .where((F.col("label_a") < F.col("label_b")) & able)
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     )
-    across = materialise(across.join(links, ["a", "b"], "left_anti"), "near-across")
-    more = verified(across, texts, size, percent).where("linked")
-    if more.isEmpty():
-        return labels
-    return components(links.where("linked").select("a", "b").unionByName(more.select("a", "b")))
+
+
+def _own_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """(node, own): how many shingles of a class no other one of these texts has."""
+
+    def run(batches):
+        known = WordHashes()
+        schema = pa.schema([("node", pa.int64()), ("shingle", pa.int64())])
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                found = [shingle_hashes(known.of(normal_words(t.as_py())), size) for t in part.column(1)]
+                nodes = np.repeat(part.column(0).to_numpy(), [len(x) for x in found])
+                yield batch_of(schema, [nodes, signed(np.concatenate(found))])
+
+    rows = texts.select("node", "text").mapInArrow(run, "node long, shingle long")
+    single = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
+    return materialise(single.groupBy("node").agg(F.count(F.lit(1)).alias("own")), "near-own")
 
 
 def _texts(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
@@ -253,7 +306,8 @@ def _texts(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame
     wanted = materialise(wanted, "near-wanted")
     rows = keyed_texts(docs).withColumn("text_key", F.xxhash64("text"))
     same_row = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_key"] == wanted["text_key"])
-    found = materialise(rows.join(wanted, same_row).select("node", "text"), "near-texts")
+    # The list grows with the table, so the join is the same at every size: none is broadcast.
+    found = materialise(rows.join(wanted.hint("merge"), same_row).select("node", "text"), "near-texts")
     # Rows that repeat whole are found more than once; any of them has the text.
     if found.count() == wanted.count():
         return found
