@@ -14,7 +14,7 @@ with a probability of 1.3e-7. Then:
 2. every class of a bucket is compared with one head of it (a star, not all pairs);
 3. where the links found leave several components in a bucket, the pairs across its components
    are compared as well, so no link that could join two components is missed. A bound from
-   the shingles that only one class has rules most of them out before pairs are made;
+   rare shingles rules most of them out before pairs are made;
 4. a link counts if the whole sets of words, taken from the texts, have
    100 * intersection >= 80 * union.
 
@@ -43,6 +43,7 @@ from rentscope.session import materialise
 SHINGLE = 4
 PERCENT = 80
 BANDS, BAND_ROWS = 40, 5
+RARE = 8
 COORDINATES = BANDS * BAND_ROWS
 SKETCH_DDL = "doc_id long, text_key long, n_shingles long, same binary, bands array<long>"
 SKETCH = pa.schema(
@@ -246,44 +247,60 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return materialise(members.drop("c").join(heads, "key"), "near-buckets")
 
 
+def _possible(shared: Column, total: Column, percent: int) -> Column:
+    """Whether so many shared shingles of two sets of this total size make a link."""
+    return shared * 100 >= (total - shared) * percent
+
+
 def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components that may still be linked.
+    """Pairs (a, b) of different components that share a bucket and may still be linked.
 
-    Of a class with n shingles, u of which no other class of these buckets has, at most n - u
-    can be shared with any of them. This bound drops most classes of a large bucket one by one,
-    before pairs are made, and it never drops a link.
+    A shingle is rare if at most ``RARE`` classes of these buckets have it. A pair that shares no rare
+    shingle shares at most what either class has besides its rare ones; this bound drops most
+    classes of a large bucket one by one, before pairs are made. Pairs that do share rare
+    shingles are found by joining those, each of which meets few classes, and their number
+    goes into the bound. So no link is dropped.
     """
     placed = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
 
-    def still_mixed(rows: DataFrame, label: str) -> DataFrame:
+    def still_mixed(rows: DataFrame, name: str) -> DataFrame:
         spans = rows.groupBy("key").agg(
             F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("least_n")
         )
-        spans = materialise(spans.where("lo < hi").select("key", "least_n"), label)
+        spans = materialise(spans.where("lo < hi").select("key", "least_n"), name)
         return rows.join(spans, "key")
 
     mixed = materialise(still_mixed(placed, "near-mixed-keys"), "near-mixed")
-    own = _own_shingles(texts.join(mixed.select("node").distinct(), "node", "left_semi"), size)
-    bounded = mixed.join(own, "node", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+    nodes = materialise(mixed.select("node", "n", "label").distinct(), "near-nodes")
+    rare = _rare_shingles(texts.join(nodes.select("node"), "node", "left_semi"), size)
+    own = rare.groupBy("node").agg(F.count(F.lit(1)).alias("rare"))
+    nodes = materialise(
+        nodes.join(own, "node", "left").withColumn("most", F.col("n") - F.coalesce("rare", F.lit(0))).drop("rare"),
+        "near-bounds",
+    )
 
-    def possible(shared: Column, total: Column) -> Column:
-        return shared * 100 >= (total - shared) * percent
+    def sides(rows: DataFrame, key: str) -> DataFrame:
+        """Pairs of rows with one key and different labels, the lower label first."""
+        a, b = (
+            rows.select(key, *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "most"))) for x in "ab"
+        )
+        return a.join(b, key).where("label_a < label_b")
 
-    bounded = bounded.where(possible(F.col("most"), F.col("n") + F.greatest("most", "least_n")))
-    rest = materialise(still_mixed(materialise(bounded.drop("least_n"), "near-bounded"), "near-rest-keys"), "near-rest")
-    left, right = (
-        rest.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "most"))) for x in "ab"
-    )
-    able = possible(F.least("most_a", "most_b"), F.col("n_a") + F.col("n_b"))
-    return (
-        left.join(right, "key")
-        .where((F.col("label_a") < F.col("label_b")) & able)
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    total, most = F.col("n_a") + F.col("n_b"), F.least("most_a", "most_b")
+    bounded = mixed.join(nodes.select("node", "most"), "node").where(
+        _possible(F.col("most"), F.col("n") + F.greatest("most", "least_n"), percent)
     )
+    bounded = materialise(bounded.drop("least_n"), "near-bounded")
+    rest = materialise(still_mixed(bounded, "near-rest-keys"), "near-rest")
+    without = sides(rest, "key").where(_possible(most, total, percent)).select("node_a", "node_b")
+    by_rare = sides(rare.where("c > 1").join(nodes, "node"), "shingle")
+    by_rare = by_rare.groupBy("node_a", "node_b", "n_a", "n_b", "most_a", "most_b").agg(F.count(F.lit(1)).alias("k"))
+    sharing = by_rare.where(_possible(F.least(most + F.col("k"), "n_a", "n_b"), total, percent))
+    return without.unionByName(sharing.select("node_a", "node_b")).toDF("a", "b")
 
 
-def _own_shingles(texts: DataFrame, size: int) -> DataFrame:
-    """(node, own): how many shingles of a class no other one of these texts has."""
+def _rare_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """(shingle, node, c) of the shingles that c <= RARE of these texts have."""
 
     def run(batches):
         known = WordHashes()
@@ -296,8 +313,9 @@ def _own_shingles(texts: DataFrame, size: int) -> DataFrame:
                 yield batch_of(schema, [nodes, signed(np.concatenate(found))])
 
     rows = texts.select("node", "text").mapInArrow(run, "node long, shingle long")
-    single = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
-    return materialise(single.groupBy("node").agg(F.count(F.lit(1)).alias("own")), "near-own")
+    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") <= RARE)
+    counts = materialise(counts, "near-shingle-counts")
+    return materialise(rows.join(counts, "shingle"), "near-rare")
 
 
 def _texts(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:

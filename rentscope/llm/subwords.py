@@ -15,10 +15,11 @@ from functools import lru_cache
 
 import numpy as np
 
-LATELY = 250_000
+LATELY = 400_000
 SHORT = 48
 # A space that is not between two visible characters.
 _ODD_SPACE = re.compile(r"^ | $|\s | \s")
+_PLAIN = re.compile(r"\S+")
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -31,6 +32,10 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        tokens = self.tokenizer.get_vocab()
+        # Which ids begin with a space; byte-level vocabularies write it as this letter.
+        self.begins = np.zeros(max(tokens.values()) + 1, bool)
+        self.begins[[number for token, number in tokens.items() if token.startswith("\u0120")]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -38,6 +43,29 @@ class UnitEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def unit_ids(self, units: list[str]) -> list[bytes]:
+        """The ids of units behind a space each.
+
+        Units without odd white space are joined, a few hundred to a text: the only spaces there
+        are those between them, so the ids that begin with a space begin the units.
+        """
+        found = dict.fromkeys(units, b"")
+        plain = [u for u in units if _PLAIN.fullmatch(u)]
+        runs = [plain[i : i + 500] for i in range(0, len(plain), 500)]
+        joined = self.tokenizer.encode_batch_fast(["".join([" " + u for u in run]) for run in runs], add_special_tokens=False)
+        for run, encoded in zip(runs, joined, strict=True):
+            ids = np.array(encoded.ids, "<u4")
+            places = (4 * np.flatnonzero(self.begins[ids])).tolist()
+            if len(places) != len(run):
+                raise ValueError("the tokenizer does not begin each unit with a space")
+            data = ids.tobytes()
+            for unit, low, high in zip(run, places, [*places[1:], len(data)], strict=True):
+                found[unit] = data[low:high]
+        odd = [u for u in units if not found[u]]
+        for unit, ids in zip(odd, self.ids([" " + u for u in odd]), strict=True):
+            found[unit] = ids
+        return list(found.values())
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; the tokenizer sees the units that are new."""
         split = [t.split(" ") if _ODD_SPACE.search(t) is None else _BORDER.split(t) for t in texts]
@@ -50,7 +78,7 @@ class UnitEncoder:
                     young[unit] = old[unit]
                 else:
                     new.append(unit)
-        for unit, ids in zip(new, self.ids([" " + u for u in new]), strict=True):
+        for unit, ids in zip(new, self.unit_ids(new), strict=True):
             (young if len(unit) <= SHORT else long)[unit] = ids
         known = ChainMap(long, young) if long else young
         encoded = [
