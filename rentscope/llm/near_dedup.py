@@ -279,11 +279,10 @@ def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int,
         "near-bounds",
     )
 
-    def sides(rows: DataFrame, key: str) -> DataFrame:
+    def sides(rows: DataFrame, key: str, *more: str) -> DataFrame:
         """Pairs of rows with one key and different labels, the lower label first."""
-        a, b = (
-            rows.select(key, *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "most"))) for x in "ab"
-        )
+        columns = ("node", "n", "label", "most", *more)
+        a, b = (rows.select(key, *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
         return a.join(b, key).where("label_a < label_b")
 
     total, most = F.col("n_a") + F.col("n_b"), F.least("most_a", "most_b")
@@ -292,7 +291,11 @@ def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int,
     )
     bounded = materialise(bounded.drop("least_n"), "near-bounded")
     rest = materialise(still_mixed(bounded, "near-rest-keys"), "near-rest")
-    without = sides(rest, "key").where(_possible(most, total, percent)).select("node_a", "node_b")
+    # A pair may share many buckets; it is made in the first of them only.
+    shared = rest.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    rest = materialise(rest.join(shared, "node"), "near-rest-buckets")
+    once = F.col("key") == F.array_min(F.array_intersect("keys_a", "keys_b"))
+    without = sides(rest, "key", "keys").where(_possible(most, total, percent)).where(once).select("node_a", "node_b")
     by_rare = sides(rare.where("c > 1").join(nodes, "node"), "shingle")
     by_rare = by_rare.groupBy("node_a", "node_b", "n_a", "n_b", "most_a", "most_b").agg(F.count(F.lit(1)).alias("k"))
     sharing = by_rare.where(_possible(F.least(most + F.col("k"), "n_a", "n_b"), total, percent))
