@@ -123,9 +123,10 @@ def classes(
         )
 
     by_digest = feed.join(repeated, "digest", "left")
+    # The list grows with the table, so the join is the same at every size: it is not broadcast.
     hits = materialise(
         rows.select("digest", "doc_id", "text", "text_sha256", *PLACE).join(
-            repeated.select("digest", "keep"), "digest"
+            repeated.select("digest", "keep").hint("merge"), "digest"
         ),
         "exact-hits",
     )
@@ -162,4 +163,4 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
         docs = materialise(docs, "exact-input")
         rows = docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_place"))
     dropped = classes(docs, **options).where("not kept").select(F.struct(*PLACE).alias("_place"))
-    return rows.join(materialise(dropped, "exact-dropped"), "_place", "left_anti").drop("_place")
+    return rows.join(materialise(dropped, "exact-dropped").hint("merge"), "_place", "left_anti").drop("_place")

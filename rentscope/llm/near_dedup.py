@@ -343,4 +343,4 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     )
     key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (key == F.col("_key"))
-    return docs.join(dropped, same, "left_anti")
+    return docs.join(dropped.hint("merge"), same, "left_anti")
