@@ -13,13 +13,7 @@ from rentscope.operators import quantiles, ranking
 from rentscope.operators.metrics import one_row
 from rentscope.sources import html_pages
 
-SOURCE = "Current public competitor / analogous pricing pages"
-NOTE = (
-    "Manual verified prices are checked against public pages. "
-    "Extracted numbers are candidates and should be cited with source URLs."
-)
 BENCHMARK = ["product", "pricing_plan_name", "manual_verified_price_ntd", "source_url"]
-INLINE_ROWS = 10_000
 
 
 def enabled(sources: DataFrame) -> DataFrame:
@@ -121,23 +115,19 @@ def incumbents(rows: DataFrame, own_name: str) -> DataFrame:
     return rows.filter(~text.contains_ignoring_case(F.col("product"), own_name))
 
 
-def _listed(rows: DataFrame, inline_rows: int) -> DataFrame:
-    """Products and verified benchmarks as arrays in one row.
+def products(rows: DataFrame) -> DataFrame:
+    """The product of each record, as a table of its own."""
+    return rows.filter(F.col("product").isNotNull()).select("product", "source_url")
 
-    Only for a table of at most ``inline_rows`` records, which is counted first. A
-    longer one has null here; its rows are in the record table and in
-    ``verified_benchmarks``, both complete.
+
+def _sizes(rows: DataFrame) -> DataFrame:
+    """How long the tables ``products`` and ``verified_benchmarks`` are, and if there is any row.
+
+    The lists themselves grow with the records, so they are tables at every size.
     """
-    if rows.count() > inline_rows:
-        return rows.sparkSession.createDataFrame([(True,)], "too_long boolean").select(
-            F.lit(None).cast("array<string>").alias("products")
-        )
-    verified = F.col("manual_verified_price_ntd").isNotNull()
     return rows.agg(
-        F.sort_array(F.collect_list("product")).alias("products"),
-        F.sort_array(F.collect_list(F.when(verified, F.struct(*BENCHMARK)))).alias(
-            "manual_verified_benchmarks"
-        ),
+        F.count("product").alias("product_count"),
+        F.count("manual_verified_price_ntd").alias("benchmark_count"),
     )
 
 
@@ -158,26 +148,24 @@ def _counts(rows: DataFrame) -> DataFrame:
     )
 
 
-def summary(rows: DataFrame, inline_rows: int = INLINE_ROWS) -> DataFrame:
+def summary(rows: DataFrame) -> DataFrame:
     """Record count and observed prices and percentages, in one row."""
     counts = _counts(rows)
     verified = counts.filter("kind = 'verified'").select(F.col("key").cast("int").alias("v"))
     return one_row(
         counts.agg(
-            F.lit(SOURCE).alias("source"),
+            F.lit(vocab.PRICE_SOURCE).alias("source"),
             ranking.counted("record", "all").alias("pages_checked"),
-            F.lit(NOTE).alias("note"),
+            F.lit(vocab.PRICE_NOTE).alias("note"),
         ),
-        _listed(rows, inline_rows),
+        _sizes(rows),
         _first_values(counts, "price", 50, "int", "price_values_observed_ntd"),
         verified.agg(F.sort_array(F.collect_list("v")).alias("manual_verified_prices_ntd")),
         _first_values(counts, "percent", 30, "double", "percent_values_observed"),
     )
 
 
-def report_summary(
-    rows: DataFrame, own_name: str, inline_rows: int = INLINE_ROWS
-) -> DataFrame:
+def report_summary(rows: DataFrame, own_name: str) -> DataFrame:
     """Price figures of other products for the evidence report, in one row.
 
     The benchmark is the median of verified prices, or, without any, of the
@@ -194,12 +182,12 @@ def report_summary(
     )
     return one_row(
         counts.agg(
-            F.lit(SOURCE).alias("source"),
+            F.lit(vocab.PRICE_SOURCE).alias("source"),
             ranking.counted("record", "all").alias("pages_checked"),
             median.cast("bigint").alias("median_monthly_like_price_ntd"),
-            F.lit(NOTE).alias("note"),
+            F.lit(vocab.PRICE_NOTE).alias("note"),
         ),
         rows.agg((F.count(F.lit(1)) > 0).alias("available")),
-        _listed(others, inline_rows),
+        _sizes(others),
         _first_values(counts, "price", 50, "int", "candidate_price_values_ntd"),
     )

@@ -125,7 +125,9 @@ def narrowed(
     )
     part = F.max("_rank") - F.floor(F.max("_rank"))
     ends = [F.min(F.when(F.col("_end") == end, F.col("_value"))) for end in (0, 1)]
-    point = reached.groupBy(*keys, "_spec").agg((ends[0] * (1 - part) + ends[1] * part).alias("_q"))
+    # A rank that is whole takes its value as it is; 0 * infinity would be NaN.
+    between = F.when(part == 0, ends[0]).otherwise(ends[0] * (1 - part) + ends[1] * part)
+    point = reached.groupBy(*keys, "_spec").agg(between.alias("_q"))
     return point.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_spec") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
     )
@@ -225,13 +227,20 @@ def _cut(counts: DataFrame, by: Sequence[str]) -> DataFrame:
 
     The least and the greatest value fall into different bins, so every cut drops some.
     """
-    spans = counts.groupBy(*by).agg(F.min("_value").alias("_from"), F.max("_value").alias("_to"))
+    infinite = float("inf")
+    finite = F.when(F.abs("_value") < infinite, F.col("_value"))
+    spans = counts.groupBy(*by).agg(F.min(finite).alias("_from"), F.max(finite).alias("_to"))
     spans = materialise(spans, "quantile-spans")
-    place = (F.col("_value") - F.col("_from")) / F.nullif(
-        F.col("_to") - F.col("_from"), F.lit(0.0)
+    # Halves keep the width of the widest span finite. Infinite values and NaN have bins of their own.
+    place = (F.col("_value") / 2 - F.col("_from") / 2) / F.nullif(
+        F.col("_to") / 2 - F.col("_from") / 2, F.lit(0.0)
     )
-    bin_ = F.when(F.col("_value").isNull(), -1).otherwise(
-        F.least(F.floor(F.coalesce(place, F.lit(0.0)) * BINS), F.lit(BINS - 1))
+    bin_ = (
+        F.when(F.col("_value").isNull(), -1)
+        .when(F.col("_value") == -infinite, 0)
+        .when(F.isnan("_value"), BINS + 2)
+        .when(F.col("_value") == infinite, BINS + 1)
+        .otherwise(1 + F.least(F.floor(F.coalesce(place, F.lit(0.0)) * BINS), F.lit(BINS - 1)))
     )
     binned = counts.join(spans, list(by)).withColumn("_bin", bin_).drop("_from", "_to")
     totals = binned.groupBy(*by, "_bin").agg(F.sum("_count").alias("_in"), F.max("_at").alias("_r"))

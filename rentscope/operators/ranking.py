@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 SALTS = 64
-PLACES = 1024
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -53,7 +52,7 @@ def tally(df: DataFrame, kinds: Mapping[str, Column], order: str | None = None)
     kept = [F.col(order).cast("bigint").alias("_order")] if order else []
     rows = df.select(*kept, F.posexplode(F.concat(*cells)).alias("_place", "_cell"))
     first = (
-        F.min(F.col("_order") * PLACES + F.least(F.col("_place"), F.lit(PLACES - 1)))
+        F.min(F.struct("_order", "_place"))
         if order
         else F.lit(None).cast("bigint")
     )

@@ -28,7 +28,7 @@ def recent(date: Column, since: dt.datetime | None) -> Column:
 
 
 def newest_articles(
-    articles: DataFrame, per_board: int | None = 80, since: dt.datetime | None = None
+    articles: DataFrame, per_board: int | None = None, since: dt.datetime | None = None
 ) -> DataFrame:
     """Each board's newest articles, every address once and its newest copy kept.
 

@@ -78,7 +78,7 @@ def run_metrics(
 
 def forum_signals(
     boards: Sequence[DataFrame],
-    per_board: int | None = 80,
+    per_board: int | None = None,
     local_only: bool = True,
     since: dt.datetime | None = None,
     output: str | None = None,

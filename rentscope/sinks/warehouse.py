@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.operators.cleaning import normalise_transactions
+from rentscope.session import materialise
 
 NOT_NULL = [
     "district", "building_type", "area_ping", "rent_ntd", "rent_per_ping", "transaction_date",
@@ -37,6 +38,9 @@ def save_transactions(df: DataFrame, path: str, replace: bool = True) -> int:
     rows = transactions_table(df)
     seen = Observation()
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if replace:
+        # Whole before the table is touched: rows may come from the table itself, or fail.
+        rows = materialise(rows, "replacement")
     rows.write.mode("overwrite" if replace else "append").parquet(path)
     return seen.get["rows"]
 

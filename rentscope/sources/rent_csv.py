@@ -19,8 +19,16 @@ def clean_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.replace("\ufeff", "").strip() for name in df.columns])
 
 
-def _read(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
-    return spark.read.csv(list(paths), header=True, encoding=encoding, inferSchema=False)
+def _read(
+    spark: SparkSession, paths: Sequence[str], encoding: str, multi_line: bool = False
+) -> DataFrame:
+    """Fields may be quoted, with quotes in them doubled; a backslash is an ordinary character.
+
+    ``multi_line`` allows line breaks in quoted fields; a file is then read by one task.
+    """
+    return spark.read.csv(
+        list(paths), header=True, encoding=encoding, inferSchema=False, escape='"', multiLine=multi_line
+    )
 
 
 def _undecodable(df: DataFrame) -> set[str]:
@@ -56,10 +64,10 @@ def files_by_encoding(spark: SparkSession, paths: Sequence[str]) -> dict[str, li
     return {encoding: files for encoding, files in groups.items() if files}
 
 
-def read_rent_csv(spark: SparkSession, *paths: str) -> DataFrame:
+def read_rent_csv(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
     """All columns as text, clean names, missing-value words as null."""
     frames = [
-        clean_column_names(_read(spark, files, encoding))
+        clean_column_names(_read(spark, files, encoding, multi_line))
         for encoding, files in files_by_encoding(spark, paths).items()
     ]
     if not frames:
@@ -68,9 +76,9 @@ def read_rent_csv(spark: SparkSession, *paths: str) -> DataFrame:
     return raw.select([blank_missing(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 
-def read_ingest_csv(spark: SparkSession, *paths: str) -> DataFrame:
+def read_ingest_csv(spark: SparkSession, *paths: str, multi_line: bool = False) -> DataFrame:
     """Ingest-ready transactions as text columns; names decide, not positions."""
-    raw = clean_column_names(_read(spark, paths, "utf-8"))
+    raw = clean_column_names(_read(spark, paths, "utf-8", multi_line))
     return raw.select([blank_missing(F.col(f"`{c}`")).alias(c) for c in raw.columns])
 
 

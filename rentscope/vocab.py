@@ -110,3 +110,13 @@ QUOTE_TIERS = [
     ("aggressive", "Aggressive (P75)",
      "Higher upside, but may lengthen vacancy if the unit is average."),
 ]
+
+# Texts of the price summary.
+PRICE_SOURCE = "Current public competitor / analogous pricing pages"
+PRICE_NOTE = (
+    "Manual verified prices are checked against public pages. "
+    "Extracted numbers are candidates and should be cited with source URLs."
+)
+
+# Days that two years back are, for posts and for reviews.
+POST_DAYS, REVIEW_DAYS = 730, 730

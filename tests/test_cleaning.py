@@ -6,7 +6,7 @@ import pytest
 
 from rentscope.operators import cleaning, metrics
 from rentscope.plans import jobs
-from rentscope.sinks import warehouse
+from rentscope.sinks import files, warehouse
 from rentscope.sources import rent_csv
 
 HEADER = "DISTRICT, BUITYPE,FAREA,TPRICE,UPRICE,SDATE,CASE_T,RENT_TYPE\n"
@@ -109,3 +109,15 @@ def test_load_job_and_null_check(spark, tmp_path):
     assert summary.total_transactions == 6 and summary.districts == ["中山區", "信義區", "大安區"]
     with pytest.raises(Exception, match="district is missing"):
         warehouse.save_transactions(rows.selectExpr("* except (district)", "null as district"), table)
+
+
+def test_csv_fields_with_quotes_commas_and_breaks(spark, tmp_path):
+    cells = ['a "b", c', "back\\slash", "two\nlines", "plain"]
+    df = spark.createDataFrame([(c, str(i)) for i, c in enumerate(cells)], "district string, area_ping string")
+    files.write_csv(df, str(tmp_path / "q"))
+    got = rent_csv.read_ingest_csv(spark, str(tmp_path / "q"), multi_line=True).collect()
+    assert sorted((r.area_ping, r.district) for r in got) == [(str(i), c) for i, c in enumerate(cells)]
+    one = tmp_path / "one.csv"
+    one.write_text('DISTRICT,BUITYPE\n"a ""b"", c",x\n', encoding="utf-8")
+    row = rent_csv.read_rent_csv(spark, str(one)).first()
+    assert (row.DISTRICT, row.BUITYPE) == ('a "b", c', "x")

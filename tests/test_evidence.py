@@ -109,8 +109,8 @@ def test_price_records(spark, tmp_path):
     row = summary.first()
     assert row.pages_checked == 5 and row.manual_verified_prices_ntd == [400, 1500, 4990]
     assert row.price_values_observed_ntd == [85, 400, 1200, 1500, 4990, 120000]
-    assert row.percent_values_observed == [5.0] and len(row.products) == 5
-    assert len(row.manual_verified_benchmarks) == 3
+    assert row.percent_values_observed == [5.0] and row.product_count == 5
+    assert row.benchmark_count == 3
     assert spark.read.json(f"{tmp_path}/json/benchmarks").count() == 3
 
 
@@ -121,11 +121,21 @@ def test_price_report(spark):
     assert row.candidate_price_values_ntd == [85, 400, 1200, 1500, 120000]
     bare = found.withColumn("manual_verified_price_ntd", F.lit(None).cast("int"))
     assert benchmarks.report_summary(bare, "mybrand").first().median_monthly_like_price_ntd == 800
-    long = benchmarks.report_summary(found, "mybrand", inline_rows=2).first()
-    assert long.products is None and long.pages_checked == 4
     found.unpersist()
 
 
+def test_price_summaries_of_many_records(spark):
+    """The same columns and whole tables beyond ten thousand records."""
+    sources, pages = price_inputs(spark)
+    few = benchmarks.records(sources, pages, ["version"])
+    many = few.crossJoin(spark.range(3000)).drop("id")
+    assert benchmarks.summary(many).columns == benchmarks.summary(few).columns
+    row = benchmarks.report_summary(many, "mybrand").first()
+    assert row.pages_checked == 12_000 and row.product_count == 12_000
+    assert benchmarks.products(many).count() == 15_000
+    assert benchmarks.verified_benchmarks(many).count() == 9_000
+
+
 def payload(points):
     return ")]}'\n" + json.dumps({"default": {"timelineData": points}})
 

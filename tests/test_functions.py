@@ -189,11 +189,7 @@ def test_utc_date_in_any_zone(spark, zone):
 
 
 def test_cutoffs():
-    assert dates.post_cutoff("2024-01-02") == dt.datetime(2024, 1, 2)
-    assert dates.post_cutoff(None, None) is None
-    back = dt.datetime.now() - dates.post_cutoff(None, 2)
-    assert abs(back - dt.timedelta(days=730)) < dt.timedelta(minutes=1)
-    assert dates.review_cutoff(None, 2) == dt.date.today() - dt.timedelta(days=730)
+    assert dates.cutoff() is None
     day = dt.date(2026, 6, 14)
     assert dates.timeframe("today 24-m", day) == "2024-06-14 2026-06-14"
     assert dates.timeframe("today 12-m", day) == "2025-06-14 2026-06-14"
@@ -203,3 +199,12 @@ def test_cutoffs():
 
 def test_json_guard(spark):
     column(spark, text.strip_json_guard, [(")]}'\n{}", "{}"), ("{}", "{}")])
+
+
+def test_cutoff_columns(spark):
+    row = spark.range(1).select(
+        dates.cutoff("2024-01-02", 5).alias("day"),
+        F.expr("current_timestamp()").alias("now"),
+        dates.cutoff(days=730).alias("back"),
+    ).first()
+    assert row.day == dt.datetime(2024, 1, 2) and row.now - row.back == dt.timedelta(days=730)

@@ -94,3 +94,14 @@ def test_group_without_values(spark):
     for limit in (0, 100):
         got = quantiles.aggregate(df, ["g"], {"m": ("v", 0.5)}, max_group_rows=limit)
         assert {r.g: r.m for r in got.collect()} == {"a": 2.0, "b": None}
+
+
+@pytest.mark.parametrize("odd", [float("inf"), float("-inf"), float("nan")])
+def test_odd_values_end_and_agree(spark, odd):
+    df = spark.range(1000).select(
+        F.lit("g").alias("g"), F.when(F.col("id") == 7, F.lit(odd)).otherwise(F.col("id").cast("double")).alias("v")
+    )
+    spec = {"q0": ("v", 0.0), "q30": ("v", 0.3), "q100": ("v", 1.0)}
+    one = quantiles.aggregate(df, ["g"], spec).first()
+    two = quantiles.aggregate(df, ["g"], spec, max_group_rows=1).first()
+    assert [str(one[k]) for k in spec] == [str(two[k]) for k in spec]

@@ -133,6 +133,13 @@ def test_tally_counts_across_a_hot_key(spark):
     assert got == [("a", 666), ("b", 666)]
 
 
+def test_ties_go_by_place_in_long_rows_and_large_orders(spark):
+    names = [f"k{i:04d}" for i in reversed(range(1200))]
+    df = spark.createDataFrame([(2**60, names)], "id long, k array<string>")
+    got = ranking.top_keys(ranking.tally(df, {"k": F.col("k")}, "id"), 1200).orderBy("rank").collect()
+    assert [r.key for r in got] == names
+
+
 def test_job_writes_threads_signals_and_csv(spark, tmp_path):
     boards = [
         articles(spark, [("b", "u/M.1.html", "大安 租金多少", STAMP.format(5), "a\n\"quoted\", 9000 元")]),

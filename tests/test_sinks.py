@@ -75,7 +75,16 @@ def test_incremental_append(spark, tmp_path):
     rows = transactions(spark).withColumn("source", F.lit("s")).coalesce(1)
     for expected in (200, 400):
         rows.write.mode("append").csv(folder, header=True)
-        assert ingest.append_new_files(spark, folder, table, progress) == 200
+        ingest.append_new_files(spark, folder, table, progress)
         assert spark.read.parquet(table).count() == expected
-    assert ingest.append_new_files(spark, folder, table, progress) == 0
+    ingest.append_new_files(spark, folder, table, progress)
+    assert spark.read.parquet(table).count() == 400
     assert spark.read.parquet(table).filter("ingested_at is null").isEmpty()
+
+
+def test_replace_from_itself(spark, tmp_path):
+    path = str(tmp_path / "own")
+    warehouse.save_transactions(transactions(spark), path)
+    again = spark.read.parquet(path).drop("ingested_at").limit(50)
+    assert warehouse.save_transactions(again, path) == 50
+    assert spark.read.parquet(path).count() == 50

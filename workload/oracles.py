@@ -529,7 +529,7 @@ MEDIAN_PRICE = """(select cast(trunc(coalesce(
      (select median(cast(v as double)) from (select unnest(prices) as v from others)
       where v between 50 and 5000))) as bigint))"""
 PRICE_REPORT = f"""
-select count(*) as pages_checked, string_agg(product, '|' order by product) as products,
+select count(*) as pages_checked, cast(count(product) as int) as products,
        cast(count(manual_verified_price_ntd) as int) as benchmarks,
        {text_list(smallest('prices', 50, 'others'))} as candidates, {MEDIAN_PRICE} as median_price
 from others"""
@@ -710,6 +710,8 @@ ORACLES = {
     "verified_benchmarks": with_(PAGES, RECORDS, final="""
         select product, pricing_plan_name, manual_verified_price_ntd, source_url from records
         where manual_verified_price_ntd is not null"""),
+    "price_products": with_(PAGES, RECORDS, OTHERS, final="""
+        select product, source_url from others where product is not null"""),
     "price_summary": with_(PAGES, RECORDS, final=f"""
         select count(*) as pages_checked, cast(count(product) as int) as products,
                cast(count(manual_verified_price_ntd) as int) as benchmarks,

@@ -476,11 +476,15 @@ def verified_benchmarks(spark, sf):
     return benchmarks.verified_benchmarks(price_rows(spark, sf))
 
 
+def price_products(spark, sf):
+    return benchmarks.products(benchmarks.incumbents(price_rows(spark, sf), OWN_NAME))
+
+
 def price_summary(spark, sf):
     rows = materialise(price_rows(spark, sf), "price-records")
     return benchmarks.summary(rows).select(
-        "pages_checked", F.size("products").alias("products"),
-        F.size("manual_verified_benchmarks").alias("benchmarks"),
+        "pages_checked", F.col("product_count").cast("int").alias("products"),
+        F.col("benchmark_count").cast("int").alias("benchmarks"),
         joined("price_values_observed_ntd").alias("prices"),
         joined("manual_verified_prices_ntd").alias("verified_prices"),
         decimals("percent_values_observed").alias("percents"),
@@ -490,8 +494,8 @@ def price_summary(spark, sf):
 def _price_report_view(found: DataFrame, at: str = "") -> DataFrame:
     return found.select(
         F.col(f"{at}pages_checked").alias("pages_checked"),
-        joined(f"{at}products", "|").alias("products"),
-        F.size(f"{at}manual_verified_benchmarks").alias("benchmarks"),
+        F.col(f"{at}product_count").cast("int").alias("products"),
+        F.col(f"{at}benchmark_count").cast("int").alias("benchmarks"),
         joined(f"{at}candidate_price_values_ntd").alias("candidates"),
         F.col(f"{at}median_monthly_like_price_ntd").alias("median_price"),
     )
@@ -725,7 +729,7 @@ QUERIES = {
         "segment_assignments post_tags word_tags post_prices post_areas post_snippets "
         "redacted_posts post_dates newest_articles articles_once kept_signals top_tags "
         "forum_summary forum_overview review_signals review_summary page_text page_numbers "
-        "document_numbers price_records verified_benchmarks price_summary price_report "
+        "document_numbers price_records verified_benchmarks price_products price_summary price_report "
         "index_pages post_pages interest_series interest_stats interest_summary "
         "evidence_report report_districts loaded_open_data price_source_files stored_transactions metrics_pipeline snapshots "
         "signal_files streamed_transactions"
