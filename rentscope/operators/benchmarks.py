@@ -11,6 +11,7 @@ from rentscope import vocab
 from rentscope.functions import dates, money, text
 from rentscope.operators import quantiles, ranking
 from rentscope.operators.metrics import one_row
+from rentscope.session import materialise
 from rentscope.sources import html_pages
 
 BENCHMARK = ["product", "pricing_plan_name", "manual_verified_price_ntd", "source_url"]
@@ -110,9 +111,13 @@ def verified_benchmarks(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("manual_verified_price_ntd").isNotNull()).select(*BENCHMARK)
 
 
+def _is_incumbent(own_name: str) -> Column:
+    return ~text.contains_ignoring_case(F.col("product"), own_name)
+
+
 def incumbents(rows: DataFrame, own_name: str) -> DataFrame:
     """Records of other products than one's own."""
-    return rows.filter(~text.contains_ignoring_case(F.col("product"), own_name))
+    return rows.filter(_is_incumbent(own_name))
 
 
 def products(rows: DataFrame) -> DataFrame:
@@ -120,32 +125,45 @@ def products(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("product").isNotNull()).select("product", "source_url")
 
 
-def _sizes(rows: DataFrame) -> DataFrame:
-    """How long the tables ``products`` and ``verified_benchmarks`` are, and if there is any row.
-
-    The lists themselves grow with the records, so they are tables at every size.
-    """
-    return rows.agg(
-        F.count("product").alias("product_count"),
-        F.count("manual_verified_price_ntd").alias("benchmark_count"),
-    )
-
-
 def _first_values(counts: DataFrame, kind: str, n: int, to: str, name: str) -> DataFrame:
     found = counts.filter(F.col("kind") == kind).select(F.col("key").cast(to).alias("v"))
     return found.orderBy("v").limit(n).agg(F.sort_array(F.collect_list("v")).alias(name))
 
 
-def _counts(rows: DataFrame) -> DataFrame:
-    return ranking.tally(
+def _counts(rows: DataFrame, wanted: Column | None = None) -> DataFrame:
+    """The tally of the wanted records, stored once; all figures of a summary come from it.
+
+    ``products`` and ``verified_benchmarks`` grow with the records, so they are tables at
+    every size; the tally has their lengths.
+    """
+    wanted = F.lit(True) if wanted is None else wanted
+    price = F.col("manual_verified_price_ntd")
+
+    def of_wanted(values: Column) -> Column:
+        none = F.array().cast("array<string>")
+        return F.coalesce(F.when(wanted, values.cast("array<string>")), none)
+
+    counts = ranking.tally(
         rows,
         {
-            "price": F.col("extracted_price_values_ntd"),
-            "verified": F.array("manual_verified_price_ntd"),
-            "percent": F.col("extracted_percent_values"),
-            "record": F.array(F.lit("all")),
+            "price": of_wanted(F.col("extracted_price_values_ntd")),
+            "verified": of_wanted(F.array(price)),
+            "percent": of_wanted(F.col("extracted_percent_values")),
+            "record": F.concat(
+                F.array(F.lit("any")),
+                ranking.flag("all", wanted),
+                ranking.flag("product", wanted & F.col("product").isNotNull()),
+                ranking.flag("benchmark", wanted & price.isNotNull()),
+            ),
         },
     )
+    return materialise(counts, "price-counts")
+
+
+def _sizes() -> list[Column]:
+    return [
+        ranking.counted("record", name).alias(f"{name}_count") for name in ("product", "benchmark")
+    ]
 
 
 def summary(rows: DataFrame) -> DataFrame:
@@ -154,11 +172,12 @@ def summary(rows: DataFrame) -> DataFrame:
     verified = counts.filter("kind = 'verified'").select(F.col("key").cast("int").alias("v"))
     return one_row(
         counts.agg(
+            F.lit(dates.utc_now()).alias("generated_at"),
             F.lit(vocab.PRICE_SOURCE).alias("source"),
             ranking.counted("record", "all").alias("pages_checked"),
             F.lit(vocab.PRICE_NOTE).alias("note"),
+            *_sizes(),
         ),
-        _sizes(rows),
         _first_values(counts, "price", 50, "int", "price_values_observed_ntd"),
         verified.agg(F.sort_array(F.collect_list("v")).alias("manual_verified_prices_ntd")),
         _first_values(counts, "percent", 30, "double", "percent_values_observed"),
@@ -171,8 +190,7 @@ def report_summary(rows: DataFrame, own_name: str) -> DataFrame:
     The benchmark is the median of verified prices, or, without any, of the
     candidates that look like a monthly fee.
     """
-    others = incumbents(rows, own_name)
-    counts = _counts(others).withColumn(
+    counts = _counts(rows, _is_incumbent(own_name)).withColumn(
         "value", F.when(F.col("kind").isin("price", "verified"), F.col("key").cast("bigint"))
     )
     fee = (F.col("kind") == "price") & F.col("value").between(*vocab.MONTHLY_FEE_RANGE)
@@ -186,8 +204,8 @@ def report_summary(rows: DataFrame, own_name: str) -> DataFrame:
             ranking.counted("record", "all").alias("pages_checked"),
             median.cast("bigint").alias("median_monthly_like_price_ntd"),
             F.lit(vocab.PRICE_NOTE).alias("note"),
+            (ranking.counted("record", "any") > 0).alias("available"),
+            *_sizes(),
         ),
-        rows.agg((F.count(F.lit(1)) > 0).alias("available")),
-        _sizes(others),
         _first_values(counts, "price", 50, "int", "candidate_price_values_ntd"),
     )

@@ -11,17 +11,6 @@ from pyspark.sql import functions as F
 from rentscope import schemas, vocab
 from rentscope.functions import dates
 
-SERIES_SOURCE = "Google Trends public widget API"
-SOURCE = "Google Trends"
-METHOD = "Google Trends public widget API (interest_over_time)"
-FAILED = "Google Trends request failed: "
-PARTIAL = "Partial Google Trends failures: "
-NOTE = (
-    "Google Trends values are relative search interest scores from 0 to 100, "
-    "not absolute search volume."
-)
-
-
 def combine(
     spark, series: Sequence[DataFrame], timeframe: str, geo: str, collected_at: str | None = None
 ) -> DataFrame:
@@ -31,7 +20,7 @@ def combine(
     rows = reduce(DataFrame.unionByName, [s.select("week", "keyword", "interest") for s in series])
     return rows.withColumns(
         {
-            "source": F.lit(SERIES_SOURCE),
+            "source": F.lit(vocab.INTEREST_SERIES_SOURCE),
             "timeframe": F.lit(dates.timeframe(timeframe)),
             "geo": F.lit(geo),
             "collected_at": F.lit(collected_at or dates.utc_now()),
@@ -47,7 +36,7 @@ def failure_note(found: DataFrame, keywords: Sequence[str]) -> str | None:
     missing = "; ".join(f"{k}: empty timeline" for k in names if k not in present)
     if not missing:
         return None
-    return (PARTIAL if present else FAILED) + missing
+    return (vocab.INTEREST_PARTIAL if present else vocab.INTEREST_FAILED) + missing
 
 
 FIELDS = ["keyword", "mean_interest", "max_interest", "latest_interest", "weeks_observed"]
@@ -86,14 +75,14 @@ def summary(
         _stats(series.filter(F.col("keyword").isin(list(keywords))))
         .agg(listed.alias("keyword_stats"))
         .select(
-            F.lit(SOURCE).alias("source"),
-            F.lit(METHOD).alias("method"),
+            F.lit(vocab.INTEREST_SOURCE).alias("source"),
+            F.lit(vocab.INTEREST_METHOD).alias("method"),
             F.lit(dates.timeframe(timeframe)).alias("timeframe"),
             F.lit(geo).alias("geo"),
             F.array(*[F.lit(k) for k in keywords]).cast("array<string>").alias("keywords"),
             F.get("keyword_stats", F.lit(0))["keyword"].alias("top_keyword_by_mean_interest"),
             "keyword_stats",
-            F.lit(note or NOTE).alias("note"),
+            F.lit(note or vocab.INTEREST_NOTE).alias("note"),
             (F.size("keyword_stats") > 0).alias("available"),
         )
     )

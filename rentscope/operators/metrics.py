@@ -19,7 +19,7 @@ BANDS = {
 
 
 def district_metrics(
-    transactions: DataFrame, max_group_rows: int = quantiles.MAX_GROUP_ROWS
+    transactions: DataFrame, max_values: int = quantiles.MAX_VALUES
 ) -> DataFrame:
     """Sample size and exact rent quantiles by district and building type."""
     found = quantiles.aggregate(
@@ -32,7 +32,7 @@ def district_metrics(
             "median_rent_ntd": ("rent_ntd", 0.5),
         },
         [F.count("rent_per_ping").alias("sample_size")],
-        max_group_rows,
+        max_values,
     )
     return found.select(
         *SEGMENT, "sample_size", "median_rent_per_ping", "p25_rent_per_ping",
@@ -75,7 +75,7 @@ def list_clusters(clusters: DataFrame) -> DataFrame:
 
 
 def district_summary(
-    rent: DataFrame, max_group_rows: int = quantiles.MAX_GROUP_ROWS
+    rent: DataFrame, max_values: int = quantiles.MAX_VALUES
 ) -> DataFrame:
     """Rent, area and unit-rent figures by district, dearest first."""
     exact = {
@@ -90,7 +90,7 @@ def district_summary(
         F.avg("rent_total_ntd").alias("avg_rent_total_ntd"),
         F.avg("rent_per_ping_ntd").alias("avg_rent_per_ping_ntd"),
     ]
-    found = quantiles.aggregate(rent, ["district"], exact, others, max_group_rows)
+    found = quantiles.aggregate(rent, ["district"], exact, others, max_values)
     figures = [
         "median_rent_total_ntd", "avg_rent_total_ntd", "p25_rent_total_ntd",
         "p75_rent_total_ntd", "median_area_ping", "median_rent_per_ping_ntd",

@@ -2,7 +2,8 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one task's memory.
 That is the quickest way for groups of known size, and it is used as long as the
-largest group stays under ``max_group_rows``. Beyond it the answer is narrowed down:
+groups one task may hold at a time stay under ``max_values`` values in all columns
+together. Beyond that the answer is narrowed down:
 
 1. one scan sketches, per group and quantile, a bracket of values around the wanted
    rank;
@@ -13,6 +14,7 @@ largest group stays under ``max_group_rows``. Beyond it the answer is narrowed d
    and the wanted ranks are read from what is left.
 
 No step brings a group's rows together, so one key may hold any share of the table.
+The input is run once: its keys and values are stored, and every scan reads that copy.
 """
 
 from __future__ import annotations
@@ -26,16 +28,19 @@ from pyspark.sql import Window as W
 
 from rentscope.session import materialise
 
-MAX_GROUP_ROWS = 500_000
+MAX_VALUES = 2_000_000
+#: Spark's aggregate holds so many groups with value maps before it sorts instead.
+GROUPS_AT_ONCE = 128
 SKETCH_ACCURACY = 10_000
 BINS = 1024
 
 Quantiles = Mapping[str, tuple[str, float]]
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+def rows_at_once(groups: DataFrame) -> int:
+    """Rows of the largest groups that may meet in one task."""
+    largest = groups.orderBy(F.desc("_rows")).limit(GROUPS_AT_ONCE)
+    return largest.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
 
 
 def aggregate(
@@ -43,21 +48,27 @@ def aggregate(
     keys: Sequence[str],
     quantiles: Quantiles,
     others: Sequence[Column] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_values: int = MAX_VALUES,
+    reads: Sequence[str] = (),
 ) -> DataFrame:
     """Group by ``keys`` with exact quantiles and further aggregates.
 
     ``quantiles`` maps an output column to (input column, probability). Rows with a
-    null key are left out; null values are skipped.
+    null key are left out; null values are skipped. ``others`` may read the keys, the
+    value columns and the columns named in ``reads``.
     """
+    values = list(dict.fromkeys(column for column, _ in quantiles.values()))
     rows = df.dropna(subset=list(keys)) if keys else df
-    if largest_group(rows, keys) <= max_group_rows:
+    rows = materialise(rows.select(*dict.fromkeys([*keys, *values, *reads])), "quantile-rows")
+    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *others)
+    groups = materialise(groups, "quantile-groups")
+    if rows_at_once(groups) * len(values) <= max_values:
         return _direct(rows, keys, quantiles, others)
 
-    found = narrowed(rows, keys, quantiles, max_group_rows)
+    found = narrowed(rows, keys, quantiles, max_values)
     if not keys and not others:
         return found
-    counted = rows.groupBy(*keys).agg(*others) if others else rows.select(*keys).distinct()
+    counted = groups.drop("_rows")
     if keys:
         return counted.join(found, list(keys), "left")
     one = F.lit(1).alias("_one")
@@ -91,7 +102,7 @@ def narrowed(
     df: DataFrame,
     keys: Sequence[str],
     quantiles: Quantiles,
-    max_values: int = MAX_GROUP_ROWS,
+    max_values: int = MAX_VALUES,
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     names = list(quantiles)

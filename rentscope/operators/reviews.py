@@ -12,9 +12,6 @@ from rentscope import vocab
 from rentscope.functions import dates, text
 from rentscope.operators import ranking
 
-SOURCE = "Apple App Store public RSS customer reviews"
-
-
 def to_signals(
     reviews: DataFrame,
     collected_at: str | None = None,
@@ -51,10 +48,12 @@ def summary(reviews: DataFrame, first_day: dt.date, order: str | None = None) ->
     stars = F.when(F.col("kind") == "rating", F.col("key").try_cast("bigint"))
     rated = F.sum(F.when(F.col("kind") == "rating", F.col("count")))
     return ranking.ranked(counts, unranked=["rating"]).agg(
-        F.lit(SOURCE).alias("source"),
+        F.lit(dates.utc_now()).alias("generated_at"),
+        F.lit(vocab.REVIEW_SOURCE).alias("source"),
         F.lit(first_day.isoformat()).alias("since_date"),
         ranking.counted("review", "all").alias("reviews_collected"),
         ranking.top("app").alias("apps_reviewed"),
         F.bround(F.sum(stars * F.col("count")) / rated, 2).alias("average_rating"),
         ranking.top("pain", 10).alias("top_pain_keywords"),
+        F.lit(vocab.REVIEW_NOTE).alias("note"),
     )

@@ -118,5 +118,23 @@ PRICE_NOTE = (
     "Extracted numbers are candidates and should be cited with source URLs."
 )
 
+# Texts of the review summary.
+REVIEW_SOURCE = "Apple App Store public RSS customer reviews"
+REVIEW_NOTE = (
+    "Reviews are public user-generated content and are treated as qualitative "
+    "demand/pain-point evidence, not as interviews."
+)
+
+# Texts of the search-interest table and its summary.
+INTEREST_SERIES_SOURCE = "Google Trends public widget API"
+INTEREST_SOURCE = "Google Trends"
+INTEREST_METHOD = "Google Trends public widget API (interest_over_time)"
+INTEREST_FAILED = "Google Trends request failed: "
+INTEREST_PARTIAL = "Partial Google Trends failures: "
+INTEREST_NOTE = (
+    "Google Trends values are relative search interest scores from 0 to 100, "
+    "not absolute search volume."
+)
+
 # Days that two years back are, for posts and for reviews.
 POST_DAYS, REVIEW_DAYS = 730, 730

@@ -76,10 +76,10 @@ def test_cluster_before_a_gap(spark):
 def test_aggregate_chooses_by_size(spark):
     df, rows = skewed(spark)
     others = [F.count(F.lit(1)).alias("n")]
-    got = quantiles.aggregate(df, ["g"], SPEC, others, max_group_rows=1000)
+    got = quantiles.aggregate(df, ["g"], SPEC, others, max_values=1000)
     compare(got, rows)
     assert {r.g: r.n for r in got.collect()}["hot"] == 3000
-    whole = quantiles.aggregate(df, [], {"m": ("w", 0.5)}, others, max_group_rows=1000).first()
+    whole = quantiles.aggregate(df, [], {"m": ("w", 0.5)}, others, max_values=1000).first()
     assert whole.n == len(rows)
 
 
@@ -92,7 +92,7 @@ def test_of_counts(spark):
 def test_group_without_values(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "g string, v double")
     for limit in (0, 100):
-        got = quantiles.aggregate(df, ["g"], {"m": ("v", 0.5)}, max_group_rows=limit)
+        got = quantiles.aggregate(df, ["g"], {"m": ("v", 0.5)}, max_values=limit)
         assert {r.g: r.m for r in got.collect()} == {"a": 2.0, "b": None}
 
 
@@ -103,5 +103,5 @@ def test_odd_values_end_and_agree(spark, odd):
     )
     spec = {"q0": ("v", 0.0), "q30": ("v", 0.3), "q100": ("v", 1.0)}
     one = quantiles.aggregate(df, ["g"], spec).first()
-    two = quantiles.aggregate(df, ["g"], spec, max_group_rows=1).first()
+    two = quantiles.aggregate(df, ["g"], spec, max_values=1).first()
     assert [str(one[k]) for k in spec] == [str(two[k]) for k in spec]

@@ -1,24 +1,14 @@
-"""Registered queries against their comparison SQL, and the entry module.
-
-One query per part of the engine by default; RENTSCOPE_ALL_QUERIES=1 runs all.
-"""
-
-import os
+"""Registered queries against their comparison SQL, and the entry module."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from workload import tables
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-SOME = [
-    "clean_rent", "district_metrics", "batch_quotes", "segment_assignments", "post_tags",
-    "post_prices", "redacted_posts", "newest_articles", "forum_summary", "review_signals",
-    "page_text", "price_records", "interest_stats", "streamed_transactions",
-]
-NAMES = list(QUERIES) if os.environ.get("RENTSCOPE_ALL_QUERIES") else SOME
 
 
 @pytest.fixture(scope="module")
@@ -31,13 +21,14 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
     found = QUERIES[name](spark, SF)
     columns = sorted(found.columns)

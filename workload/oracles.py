@@ -804,3 +804,16 @@ ORACLES = {
         select district, count(*) as n, cast(sum(rent_ntd) as bigint) as rent_ntd from tx
         group by district"""),
 }
+
+# Files and tables read back hold what the same operators return.
+ORACLES |= {
+    "review_files": ORACLES["review_signals"],
+    "price_files": f"select * exclude (checked_at) from ({ORACLES['price_records']})",
+    "interest_files": f"""
+        select * replace (concat(keywords, ',nothing') as keywords,
+                          'Partial Google Trends failures: nothing: empty timeline' as note),
+               (select count(*) from ({ORACLES['interest_series']})) as csv_rows
+        from ({ORACLES['interest_summary']})""",
+    "stored_segments": ORACLES["market_segments"],
+    "report_head": f"select * from ({ORACLES['report_districts']}) where position < 3",
+}

@@ -145,7 +145,7 @@ def ingest_rows(spark, sf):
 
 
 def district_summary(spark, sf):
-    return metrics.district_summary(materialise(clean(spark, sf), "rent"))
+    return metrics.district_summary(clean(spark, sf))
 
 
 def normalised_transactions(spark, sf):
@@ -173,8 +173,7 @@ def rent_csv_files(spark, sf):
     read = rent_csv.with_columns(
         rent_csv.read_rent_csv(spark, f"{path}/utf8", f"{path}/big5")
     )
-    rent = cleaning.clean_rent(cleaning.rental_rows(read))
-    return metrics.district_summary(materialise(rent, "rent"))
+    return metrics.district_summary(cleaning.clean_rent(cleaning.rental_rows(read)))
 
 
 # --- metrics and quotes -----------------------------------------------------------
@@ -191,7 +190,7 @@ def district_metrics(spark, sf):
 
 def narrowed_metrics(spark, sf):
     """The same figures by narrowing, as for groups too large for one task."""
-    found = metrics.district_metrics(plausible(spark, sf), max_group_rows=100)
+    found = metrics.district_metrics(plausible(spark, sf), max_values=100)
     return rounded(found.drop("updated_at"), *METRIC_FIGURES)
 
 
@@ -206,7 +205,7 @@ def overall_quantiles(spark, sf):
             "p99_rent_per_ping": ("rent_per_ping", 0.99),
         },
         [F.count(F.lit(1)).alias("sample_size")],
-        max_group_rows=200,
+        max_values=200,
     )
     return rounded(found, "p25_area_ping", "median_rent_ntd", "p99_rent_per_ping")
 
@@ -313,6 +312,17 @@ def segment_assignments(spark, sf):
     return assigned.groupBy("district", "cluster_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stored_segments(spark, sf):
+    """Segments of the points loaded from a stored table."""
+    path = scratch_path(spark, "points")
+    plausible(spark, sf).write.parquet(path)
+    points = documents.load_points(spark, path, ("row_key",))
+    found, _ = segments.segment(points, order=F.md5("row_key"))
+    return rounded(
+        found.drop("updated_at"), "centroid_area_ping", "centroid_rent_per_ping", digits=4
+    )
+
+
 # --- posts --------------------------------------------------------------------------
 
 def post_tags(spark, sf):
@@ -433,11 +443,20 @@ def review_signals(spark, sf):
 
 def review_summary(spark, sf):
     found = reviews.summary(review_rows(spark, sf), FIRST_DAY)
-    return found.withColumns(
+    return found.drop("generated_at", "note").withColumns(
         {"apps_reviewed": pairs("apps_reviewed"), "top_pain_keywords": pairs("top_pain_keywords")}
     )
 
 
+def review_files(spark, sf):
+    """The review job with its files, and the written rows read back."""
+    path = scratch_path(spark, "reviews")
+    pages = feeds.with_app(tables.review_pages(spark, sf), tables.apps(spark, sf))
+    found, _ = jobs.review_signals(pages, FIRST_DAY, path, collected_at=CHECKED_AT)
+    read = documents.read_json(spark, f"{path}/json/reviews", found.schema, multi_line=False)
+    return read.withColumn("pain_keywords", joined("pain_keywords"))
+
+
 # --- pages and prices -----------------------------------------------------------------
 
 def page_text(spark, sf):
@@ -472,6 +491,19 @@ def price_records(spark, sf):
     )
 
 
+def price_files(spark, sf):
+    """The price job with its files, and the written records read back."""
+    path = scratch_path(spark, "prices")
+    found, _ = jobs.price_benchmarks(sources(spark, sf), price_pages(spark, sf), ["page_id"], path)
+    read = documents.read_json(spark, f"{path}/json/records", found.schema, multi_line=False)
+    return read.drop("checked_at").withColumns(
+        {
+            "extracted_price_values_ntd": joined("extracted_price_values_ntd"),
+            "extracted_percent_values": decimals("extracted_percent_values"),
+        }
+    )
+
+
 def verified_benchmarks(spark, sf):
     return benchmarks.verified_benchmarks(price_rows(spark, sf))
 
@@ -553,8 +585,7 @@ def interest_stats(spark, sf):
     return interest.stats(series(spark, sf))
 
 
-def interest_summary(spark, sf):
-    found = interest.summary(series(spark, sf), TIMEFRAME, GEO, EVENT_TYPES)
+def _interest_view(found: DataFrame) -> DataFrame:
     stats = F.transform(
         "keyword_stats",
         lambda s: F.concat_ws(":", s["keyword"], s["max_interest"], s["weeks_observed"]),
@@ -562,6 +593,21 @@ def interest_summary(spark, sf):
     return found.withColumns({"keyword_stats": F.array_join(stats, ","), "keywords": joined("keywords")})
 
 
+def interest_summary(spark, sf):
+    return _interest_view(interest.summary(series(spark, sf), TIMEFRAME, GEO, EVENT_TYPES))
+
+
+def interest_files(spark, sf):
+    """The interest job, asked for one keyword without data, and its files read back."""
+    path = scratch_path(spark, "interest")
+    _, summary = jobs.search_interest(
+        tables.trend_payloads(spark, sf), [*EVENT_TYPES, "nothing"], TIMEFRAME, GEO, path
+    )
+    read = documents.read_json(spark, f"{path}/json", summary.schema, multi_line=False)
+    rows = spark.read.csv(f"{path}/csv", header=True, escape='"')
+    return metrics.one_row(_interest_view(read), rows.agg(F.count(F.lit(1)).alias("csv_rows")))
+
+
 # --- report ------------------------------------------------------------------------------
 
 def _report(spark, sf, **how):
@@ -602,6 +648,12 @@ def report_districts(spark, sf):
     return evidence.listing(read, "forum_summary.top_districts")
 
 
+def report_head(spark, sf):
+    """The first three of the districts the report names most."""
+    section = evidence.forum_section(signals.report_summary(post_signals(spark, sf), "doc_id"))
+    return evidence.listing(section, "forum_summary.top_districts", head=3)
+
+
 # --- stored tables ----------------------------------------------------------------------
 
 def stored_transactions(spark, sf):
@@ -732,6 +784,7 @@ QUERIES = {
         "document_numbers price_records verified_benchmarks price_products price_summary price_report "
         "index_pages post_pages interest_series interest_stats interest_summary "
         "evidence_report report_districts loaded_open_data price_source_files stored_transactions metrics_pipeline snapshots "
-        "signal_files streamed_transactions"
+        "signal_files streamed_transactions review_files price_files interest_files "
+        "stored_segments report_head"
     ).split()
 }
