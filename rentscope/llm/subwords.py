@@ -10,26 +10,30 @@ from __future__ import annotations
 
 import os
 import re
-from collections import ChainMap
 from functools import lru_cache
 
 import numpy as np
 
 LATELY = 400_000
 SHORT = 48
-# A space that is not between two visible characters.
-_ODD_SPACE = re.compile(r"^ | $|\s | \s")
-_PLAIN = re.compile(r"\S+")
+# A space between two visible characters.
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
-
-# The same in ASCII, as plain strings, which are found faster.
-_ODD_PAIRS = [p for x in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f " for p in (x + " ", " " + x)]
+_WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 
 
 def has_odd_space(text: str) -> bool:
-    if not text.isascii():
-        return _ODD_SPACE.search(text) is not None
-    return text[:1] == " " or text[-1:] == " " or any(p in text for p in _ODD_PAIRS)
+    """Whether some space is not between two visible characters.
+
+    Plain strings are found faster than patterns, and a text holds few kinds of white space.
+    """
+    if text[:1] == " " or text[-1:] == " ":
+        return True
+    return any(x + " " in text or " " + x in text for x in _WHITE if x in text)
+
+
+def is_plain(unit: str) -> bool:
+    """Whether a unit is surely without white space; units with signs that do not print count as not."""
+    return unit.isprintable() and " " not in unit and unit != ""
 
 
 class UnitEncoder:
@@ -59,7 +63,7 @@ class UnitEncoder:
         are those between them, so the ids that begin with a space begin the units.
         """
         found = dict.fromkeys(units, b"")
-        plain = [u for u in units if _PLAIN.fullmatch(u)]
+        plain = list(filter(is_plain, units))
         runs = [plain[i : i + 500] for i in range(0, len(plain), 500)]
         joined = self.tokenizer.encode_batch_fast(["".join([" " + u for u in run]) for run in runs], add_special_tokens=False)
         for run, encoded in zip(runs, joined, strict=True):
@@ -78,20 +82,24 @@ class UnitEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; the tokenizer sees the units that are new."""
         split = [_BORDER.split(t) if has_odd_space(t) else t.split(" ") for t in texts]
-        heads = self.ids([units[0] for units in split])
+        # Only a head has no space before it. It may be the whole text, so it is no unit to keep.
+        heads = self.ids([units.pop(0) for units in split])
         young, old = self.young, self.old
-        new, long = [], {}
+        new, long = [], []
         for unit in set().union(*split).difference(young):
             if unit in old:
                 young[unit] = old[unit]
             else:
                 new.append(unit)
         for unit, ids in zip(new, self.unit_ids(new), strict=True):
-            (young if len(unit) <= SHORT else long)[unit] = ids
-        known = ChainMap(long, young) if long else young
+            young[unit] = ids
+            if len(unit) > SHORT:
+                long.append(unit)
         encoded = [
-            head + b"".join(map(known.__getitem__, units[1:])) for head, units in zip(heads, split, strict=True)
+            head + b"".join(map(young.__getitem__, units)) for head, units in zip(heads, split, strict=True)
         ]
+        for unit in long:
+            del young[unit]
         if len(young) >= LATELY:
             self.young, self.old = {}, young
         return encoded

@@ -1,11 +1,12 @@
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 from conftest_llm import PATTERN, RANKS, TOKENIZER, plain_tiktoken, plain_tokenizer, unordered
-from rentscope.llm import byte_bpe, packing, token_codes
+from rentscope.llm import byte_bpe, packing, subwords, token_codes
 from rentscope.llm.subwords import UnitEncoder, slices
 
 
@@ -146,3 +147,13 @@ def test_lower_bound_is_below_any_packing():
 
 def test_packing_empty(no_docs):
     assert packing.pack(no_docs, TOKENIZER, 2).count() == 0
+
+
+def test_odd_spaces_and_plain_units():
+    """The quick tests on strings agree with patterns for every white-space character."""
+    white = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    texts = ["", " ", "a b", "a  b", " a", "a ", "é b", "a​b", "a\x00 b"]
+    texts += [t for w in white for t in (f"a{w}b", f"a{w} b c", f"é {w}b", f"x y{w}", f"{w}x y", w)]
+    for text in texts:
+        assert subwords.has_odd_space(text) == bool(re.search(r"^ | $|\s | \s", text)), repr(text)
+        assert not subwords.is_plain(text) or re.fullmatch(r"\S+", text), repr(text)
