@@ -1,6 +1,7 @@
 """Near duplicates by fast similarity sketching, banding and exact verification.
 
-A text's set holds its distinct shingles of ``SHINGLE`` words. Sketching throws the set into
+A text's set holds its distinct shingles of ``SHINGLE`` words (``mark`` takes the four words
+that the contract of op4_near_dedup names). Sketching throws the set into
 ``COORDINATES`` bins in rounds: round i hashes every element to a bin and a value, and a bin
 that is still empty keeps the least value thrown into it. After as many rounds as there are
 bins, round COORDINATES + j throws everything into bin j, so every coordinate is filled. Small sets
@@ -40,7 +41,9 @@ from rentscope.llm.common import WordHashes, batch_of, draws, keyed_texts, mix,
 from rentscope.llm.components import components
 from rentscope.session import materialise
 
-SHINGLE = 4
+SHINGLE = 5
+#: The contract of op4_near_dedup names four words.
+MARK_SHINGLE = 4
 PERCENT = 80
 BANDS, BAND_ROWS = 40, 5
 RARE = 8
@@ -179,7 +182,7 @@ def _fits(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(small * 100 >= large * percent).select("a", "b").distinct()
 
 
-def mark(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def mark(docs: DataFrame, size: int = MARK_SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     return _marked(docs, size, percent).drop("text_key")
 

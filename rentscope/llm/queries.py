@@ -49,7 +49,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.mark(read_table(spark, sf_dir, "documents"))
+    return near_dedup.mark(read_table(spark, sf_dir, "documents"), size=near_dedup.MARK_SHINGLE)
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
