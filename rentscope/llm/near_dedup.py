@@ -184,7 +184,7 @@ def _fits(pairs: DataFrame, percent: int) -> DataFrame:
 
 def mark(docs: DataFrame, size: int = MARK_SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    return _marked(docs, size, percent).drop("text_key")
+    return _marked(docs, size, percent).drop("text_key", "first")
 
 
 def _marked(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -202,16 +202,20 @@ def _marked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     labels = _labels(docs, classes, size, percent)
     least = (
         classes.join(labels, "node", "left")
-        .select("same", "doc_id", F.coalesce("label", "node").alias("label"))
+        .select("same", "doc_id", "text_key", F.coalesce("label", "node").alias("label"))
+    )
+    smallest = least.groupBy("label").agg(first.alias("top"))
+    smallest = smallest.select("label", F.col("top.doc_id").alias("component_id"), F.col("top.text_key").alias("first_key"))
+    of_class = materialise(
+        least.join(smallest, "label").select("same", "component_id", "first_key"), "near-components"
     )
-    smallest = least.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = materialise(least.join(smallest, "label").select("same", "component_id"), "near-components")
     return (
         found.select("doc_id", "text_key", "n_shingles", "same")
         .join(of_class.withColumn("_known", F.lit(True)), "same", "left")
         .withColumn("component_id", F.when(F.col("_known"), F.col("component_id")).otherwise(F.col("doc_id")))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select("doc_id", "text_key", "n_shingles", "component_id", "kept")
+        .withColumn("first", F.col("kept") & (F.col("_known").isNull() | (F.col("text_key") == F.col("first_key"))))
+        .select("doc_id", "text_key", "n_shingles", "component_id", "kept", "first")
     )
 
 
@@ -339,8 +343,11 @@ def _texts(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows that are the first of their component, with all their columns."""
-    dropped = _marked(docs, size, percent).where("not kept").select("doc_id", "text_key").distinct()
+    """The first row of every component by (doc_id, text_key), nulls last, with all its columns.
+
+    Rows that repeat both are not told apart and stay together; the exact stage leaves one of them.
+    """
+    dropped = _marked(docs, size, percent).where("not first").select("doc_id", "text_key").distinct()
     dropped = materialise(dropped, "near-dropped").select(
         F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")
     )

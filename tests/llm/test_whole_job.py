@@ -1,7 +1,7 @@
 """Cases in which an operator or a stage did less than its whole job."""
 
 import corpus_pipeline
-from conftest_llm import edit, prose
+from conftest_llm import edit, prose, unordered
 from rentscope.llm import near_dedup
 
 
@@ -33,3 +33,17 @@ def test_pipeline_near_stage_takes_five_words(spark):
     found = corpus_pipeline.near(spark, frame, "")
     assert sorted(r.doc_id for r in found.collect()) == five
     assert sorted(r.doc_id for r in near_dedup.keep_one(frame).collect()) == five
+
+
+def test_near_keep_one_of_null_and_repeated_ids(spark):
+    """One row of each group stays, though its ids are null or its least id stands on two texts."""
+    null, twice, mixed = (" ".join(prose(seed, 150).split()) for seed in (70, 71, 72))
+    rows = [(None, null), (None, edit(null, 9)), (None, edit(null, 90)), (None, ""), (None, " ")]
+    rows += [(7, twice), (7, edit(twice, 9)), (8, edit(twice, 90)), (None, mixed), (9, edit(mixed, 9)), (9, null[::-1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r.doc_id, r.text) for r in near_dedup.keep_one(frame).collect()]
+    assert len([r for r in found if r in rows[:3]]) == 1
+    assert len([r for r in found if r in rows[5:8]]) == 1
+    assert unordered(r for r in found if r not in rows[:3] + rows[5:8]) == unordered(rows[3:5] + rows[9:])
+    marked = [r.kept for r in near_dedup.mark(frame).collect() if r.component_id == 7]
+    assert sorted(marked) == [False, True, True]
