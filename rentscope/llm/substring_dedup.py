@@ -38,6 +38,8 @@ from rentscope.llm.subwords import slices
 from rentscope.session import materialise
 
 WINDOW, SEED = 35, 8
+# Windows of an extent at most, so that they are bits of a positive 64-bit mask.
+MASK_BITS = 62
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _PLACE = draws(21, 64)
@@ -72,6 +74,10 @@ class Extents:
         gram = mix(gram)
         chosen = _last_least(gram, window - seed + 1)
         begins = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+        if window - seed + 1 > MASK_BITS:
+            # Longer extents are split; equal windows still meet, by anchor and content.
+            ends = np.append(begins[1:], count)
+            begins = np.concatenate([np.arange(a, b, MASK_BITS) for a, b in zip(begins, ends, strict=True)])
         self.starts = begins
         self.counts = np.diff(np.concatenate([begins, [count]]))
         self.anchors = signed(gram[chosen[begins]])

@@ -2,7 +2,8 @@
 
 import corpus_pipeline
 from conftest_llm import edit, prose, unordered
-from rentscope.llm import near_dedup
+from rentscope.llm import near_dedup, substring_dedup
+from test_duplicates import substring_expected
 
 
 def near_groups(texts, size):
@@ -47,3 +48,13 @@ def test_near_keep_one_of_null_and_repeated_ids(spark):
     assert unordered(r for r in found if r not in rows[:3] + rows[5:8]) == unordered(rows[3:5] + rows[9:])
     marked = [r.kept for r in near_dedup.mark(frame).collect() if r.component_id == 7]
     assert sorted(marked) == [False, True, True]
+
+
+def test_substring_extents_of_more_windows_than_a_mask_has_bits(spark):
+    """Copies of 163 words have 64 windows of 100 words, in many of them around one anchor."""
+    texts = [" ".join(prose(seed + 400, 163).split()[:163]) for seed in range(24)] * 2
+    passage = " ".join(prose(500, 180).split())
+    texts += [f"{prose(seed + 510, 90)} {passage} {prose(seed + 520, 90)}" for seed in range(3)] + [prose(530, 400)]
+    rows = [(i, text, None) for i, text in enumerate(texts)]
+    frame = spark.createDataFrame([(i, text) for i, text, _ in rows], "doc_id long, text string")
+    assert unordered(substring_dedup.clean(frame, 100, 8).collect()) == substring_expected(rows, 100)
