@@ -137,6 +137,27 @@ select d.doc_id, len(words)::bigint as n_words, coalesce(g.n_removed, 0)::bigint
 from d left join g on g.doc_id = d.doc_id left join t on t.doc_id = d.doc_id
 """
 
+HARD_NEGATIVES = """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda c: floor(256 * c::double)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and list_sum(list_transform(embedding, lambda c: coalesce(isfinite(c), false)::int)) = len(embedding)),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as vec_id, a.label = b.label as same,
+         list_inner_product(a.v, b.v)::bigint as score
+  from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id, s.vec_id as negative_id, p.positive_score, s.score as negative_score,
+       (row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id))::int as rank
+from p join s on s.anchor_id = p.anchor_id and not s.same
+where 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score
+qualify rank <= 5
+"""
+
 ORACLES = {
     "op1_warc": WARC,
     "op3_exact_dedup": EXACT_DEDUP,
@@ -144,4 +165,5 @@ ORACLES = {
     "op7_sharding": SHARDING,
     "op8_quality_rules": QUALITY_RULES,
     "op10_substring_dedup": SUBSTRING_DEDUP,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

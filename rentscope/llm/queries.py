@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rentscope.llm import (
     byte_bpe,
     exact_dedup,
+    hard_negatives,
+    language_id,
     near_dedup,
     packing,
     quality_classifier,
@@ -17,6 +20,7 @@ from rentscope.llm import (
     substring_dedup,
     token_codes,
     warc,
+    whitening,
 )
 from rentscope.llm.common import read_table
 
@@ -28,6 +32,7 @@ BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CODES_END, PACKING_END = 0, 2
 SHARDS = 16
+ANCHOR_EVERY = 100
 
 
 def tokenizer(name: str) -> str:
@@ -78,6 +83,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(
+        read_table(spark, sf_dir, "embeddings"),
+        F.col("vec_id") % ANCHOR_EVERY == 0,
+        hard_negatives.shifted_label(),
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_token_codes": op2_token_codes,
@@ -89,4 +110,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_language_id": op11_language_id,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
