@@ -6,8 +6,8 @@ into groups of about ``GROUP_ITEMS`` and packed there by best fit, longest first
 
 Dual feasible functions give each group a lower bound for its bins. A group that meets its
 bound is certified: no packing of it is better. Groups with a gap give the documents of their
-bins that are not full into a common exchange, which is dealt and packed again. Rounds go on while
-they save sequences, and a round that saves none is not used.
+bins that are not full into a common exchange, and the others those of their emptiest bin, which is dealt
+and packed again. Rounds go on until one saves no sequence, and that one is not used.
 
 Defined cases: a null text is empty and has the end id alone; rows are told apart by their
 place, so null and repeated doc_ids are separate documents; an empty table gives no rows.
@@ -31,7 +31,6 @@ from rentscope.session import materialise
 
 CAPACITY = 1024
 GROUP_ITEMS = 25_000
-MAX_ROUNDS = 6
 PIECES_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 PIECES = pa.schema(
     [
@@ -43,33 +42,46 @@ PIECES = pa.schema(
         ("ids", pa.binary()),
     ]
 )
-PLACED_DDL = "row long, length long, round long, group long, bin long, offset long, fill long, gap long"
+PLACED_DDL = "row long, length long, round long, group long, bin long, offset long, offered boolean"
 
 
-def cut(length: int, capacity: int) -> list[tuple[int, int]]:
-    """(start, end) of the pieces of a document with so many ids."""
-    first = length % capacity or capacity
-    return [(max(0, end - capacity), end) for end in range(first, length + 1, capacity)]
+def cut(counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pieces of documents with so many ids: document, number, start and length."""
+    number = -(-counts // capacity)
+    doc = np.repeat(np.arange(len(counts)), number)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
+    # Only the first piece may be shorter.
+    end = counts[doc] - (number[doc] - 1 - piece) * capacity
+    start = np.maximum(0, end - capacity)
+    return doc, piece, start, end - start
 
 
 def pieces(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False
 ) -> DataFrame:
     """One row per piece; ids (unsigned 32-bit, little-endian) only if they are wanted."""
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches):
         encoder = unit_encoder(tokenizer)
         for batch in batches:
-            numbers, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            numbers, texts = batch.column(0), batch.column(1).to_pylist()
             for low, high in slices(texts):
-                rows = []
-                for doc_id, ids in zip(numbers[low:high], encoder.encode(texts[low:high]), strict=True):
-                    ids += end
-                    for number, (a, b) in enumerate(cut(len(ids) // 4, capacity)):
-                        part = ids[4 * a : 4 * b]
-                        rows.append((doc_id, number, a, b - a, zlib.crc32(part), part if with_ids else None))
-                yield batch_of(PIECES, list(zip(*rows, strict=True)))
+                ids, counts = encoder.flat(texts[low:high], end_id)
+                doc, piece, start, length = cut(counts, capacity)
+                # Pieces follow each other as their ids do.
+                data, ends = memoryview(ids.tobytes()), (4 * np.cumsum(length)).tolist()
+                parts = [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                yield batch_of(
+                    PIECES,
+                    [
+                        numbers.slice(low, high - low).take(pa.array(doc)),
+                        piece.astype(np.int32),
+                        start,
+                        length,
+                        list(map(zlib.crc32, parts)),
+                        [bytes(x) for x in parts] if with_ids else pa.nulls(len(parts), pa.binary()),
+                    ],
+                )
 
     return keyed_texts(docs).mapInArrow(encode, PIECES_DDL)
 
@@ -123,7 +135,11 @@ def lower_bound(lengths: np.ndarray, capacity: int, steps: int = 64) -> int:
 
 
 def _round(items: DataFrame, number: int, capacity: int, group_items: int) -> DataFrame:
-    """The items (row, length) dealt into groups of bounded size and packed."""
+    """The items (row, length) dealt into groups of bounded size and packed.
+
+    Offered to another round are the bins of groups with a gap that are not full, and of every
+    other group the emptiest bin.
+    """
     groups = max(1, -(-items.count() // group_items))
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
@@ -131,8 +147,9 @@ def _round(items: DataFrame, number: int, capacity: int, group_items: int) -> Da
         lengths = frame["length"].to_numpy()
         bins, offsets, fills = best_fit(lengths, capacity)
         gap = len(fills) - lower_bound(lengths, capacity)
-        return frame.assign(round=number, bin=bins, offset=offsets, fill=fills[bins], gap=gap)[
-            ["row", "length", "round", "group", "bin", "offset", "fill", "gap"]
+        offered = fills < capacity if gap else (np.arange(len(fills)) == fills.argmin()) & (fills < capacity)
+        return frame.assign(round=number, bin=bins, offset=offsets, offered=offered[bins])[
+            ["row", "length", "round", "group", "bin", "offset", "offered"]
         ]
 
     group = F.pmod(F.xxhash64("row", F.lit(number)), F.lit(groups)).alias("group")
@@ -141,21 +158,24 @@ def _round(items: DataFrame, number: int, capacity: int, group_items: int) -> Da
 
 
 def place(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS) -> DataFrame:
-    """row, sequence_id and offset of every item (row, length) with length < capacity."""
-    done, current = [], _round(items, 0, capacity, group_items)
-    for number in range(1, MAX_ROUNDS + 1):
-        is_open = (F.col("gap") > 0) & (F.col("fill") < capacity)
-        offered = current.where(is_open)
+    """row, sequence_id and offset of every item (row, length) with length < capacity.
+
+    Every round but the last saves a sequence at least, so the rounds come to an end.
+    """
+    done, current, number = [], _round(items, 0, capacity, group_items), 0
+    while True:
+        offered = current.where("offered")
         before = offered.where("offset = 0").count()
         if before < 2:
             break
+        number += 1
         again = _round(offered.select("row", "length"), number, capacity, group_items)
         if again.where("offset = 0").count() >= before:
             break
-        done.append(current.where(~is_open))
+        done.append(current.where("not offered"))
         current = again
     placed = reduce(DataFrame.unionByName, [*done, current])
-    sequence = F.shiftleft(F.col("round"), 56) + F.shiftleft(F.col("group"), 28) + F.col("bin")
+    sequence = F.shiftleft(F.col("round"), 48) + F.shiftleft(F.col("group"), 20) + F.col("bin")
     return placed.select("row", sequence.alias("sequence_id"), "offset")
 
 

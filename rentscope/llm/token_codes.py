@@ -32,10 +32,15 @@ MAGIC = b"DAC1"
 CHUNK_BITS = 8
 RANK_BLOCK = 512
 FILE_IDS = 4_000_000
+SLICE = 8_000_000  # characters that are encoded at a time
+#: Places of all ids are joined to files by ranges of this length.
+RANGE = 4_000_000
 FILES_DDL = "part int, seq int, path string, ids long, docs long"
 FILES = pa.schema(
     [("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("ids", pa.int64()), ("docs", pa.int64())]
 )
+READ_DDL = "place long, id long"
+READ = pa.schema([("place", pa.int64()), ("id", pa.int64())])
 CODED_DDL = "doc_id long, start long, n_tokens long, ids_crc32 long"
 CODED = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
@@ -84,56 +89,85 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) -> byte
 
 
 class TokenFile:
-    """A file's documents and random access to its ids."""
+    """A file's documents and random access to its ids.
 
-    def __init__(self, data: bytes):
-        if data[:4] != MAGIC:
+    The source is bytes or an open file; of a file, only what is asked for is read.
+    """
+
+    def __init__(self, source):
+        self._source = pa.BufferReader(source) if isinstance(source, bytes) else source
+        if self._source.read_at(4, 0) != MAGIC:
             raise ValueError("not a file of token codes")
-        self._data, self._at = data, 4
-        self.ids, self.docs, levels = (int(x) for x in self._take("<u8", 3))
-        numbers, nulls = self._take("<i8", self.docs), self._take(np.uint8, self.docs)
-        self.doc_ids = [None if null else int(d) for d, null in zip(numbers, nulls, strict=True)]
-        self.starts = self._take("<u8", self.docs + 1).astype(np.int64)
-        self.levels = []
+        self.ids, self.docs, levels = (int(x) for x in self._read("<u8", 3, 4))
+        self._at = 28
+        # Of each level: the number of chunks, and where chunks, bitmap and directory begin.
+        self.levels: list[tuple[int, int, int, int]] = []
+        at = self._at + 9 * self.docs + 8 * (self.docs + 1)
         for _ in range(levels):
-            count = int(self._take("<u8", 1)[0])
+            count = int(self._read("<u8", 1, at)[0])
             blocks = -(-count // RANK_BLOCK)
-            self.levels.append(
-                (
-                    self._take(np.uint8, count),
-                    self._take(np.uint8, blocks * RANK_BLOCK // 8),
-                    self._take("<u4", blocks),
-                )
-            )
-
-    def _take(self, kind, count: int) -> np.ndarray:
-        found = np.frombuffer(self._data, kind, count, self._at)
-        self._at += found.nbytes
-        return found
+            chunks, bitmap = at + 8, at + 8 + count
+            directory = bitmap + blocks * RANK_BLOCK // 8
+            self.levels.append((count, chunks, bitmap, directory))
+            at = directory + 4 * blocks
+
+    def _read(self, kind, count: int, at: int) -> np.ndarray:
+        kind = np.dtype(kind)
+        return np.frombuffer(self._source.read_at(count * kind.itemsize, at), kind, count)
+
+    @property
+    def doc_ids(self) -> list[int | None]:
+        numbers = self._read("<i8", self.docs, self._at)
+        nulls = self._read(np.uint8, self.docs, self._at + 8 * self.docs)
+        return [None if null else d for d, null in zip(numbers.tolist(), nulls.tolist(), strict=True)]
+
+    @property
+    def starts(self) -> np.ndarray:
+        return self._read("<u8", self.docs + 1, self._at + 9 * self.docs).astype(np.int64)
 
     def __getitem__(self, place: int) -> int:
         """The id at a place of the file, from one chunk and one rank per level."""
         if not 0 <= place < self.ids:
             raise IndexError(place)
         value = shift = 0
-        for chunks, bitmap, before in self.levels:
-            value |= int(chunks[place]) << shift
+        for _, chunks, bitmap, directory in self.levels:
+            value |= int(self._read(np.uint8, 1, chunks + place)[0]) << shift
             shift += CHUNK_BITS
-            if not bitmap[place >> 3] >> (place & 7) & 1:
+            block, inside = divmod(place, RANK_BLOCK)
+            head = self._read(np.uint8, inside // 8 + 1, bitmap + block * RANK_BLOCK // 8)
+            bits = np.unpackbits(head, bitorder="little")
+            if not bits[inside]:
                 break
-            block = place // RANK_BLOCK
-            head = np.unpackbits(
-                bitmap[block * RANK_BLOCK // 8 : (place >> 3) + 1], bitorder="little"
-            )[: place - block * RANK_BLOCK]
-            place = int(before[block]) + int(head.sum())
+            place = int(self._read("<u4", 1, directory + 4 * block)[0]) + int(bits[:inside].sum())
         return value
 
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The ids at many places, each from one chunk and one rank per level."""
+        values, going = np.zeros(len(places), "<u4"), np.arange(len(places))
+        for level, (count, chunks, bitmap, directory) in enumerate(self.levels):
+            if not len(going):
+                break
+            values[going] |= self._read(np.uint8, count, chunks)[places].astype("<u4") << np.uint32(level * CHUNK_BITS)
+            blocks = -(-count // RANK_BLOCK)
+            words = self._read("<u8", blocks * RANK_BLOCK // 64, bitmap)
+            bit = (words[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)
+            going, places = going[bit == 1], places[bit == 1]
+            # The rank of a place: the directory's count, whole words of its block, bits of its own word.
+            block, per_block = places // RANK_BLOCK, RANK_BLOCK // 64
+            inside = words.reshape(-1, per_block)[block]
+            earlier = np.arange(per_block) < ((places >> 6) % per_block)[:, None]
+            below = words[places >> 6] & ((np.uint64(1) << (places & 63).astype(np.uint64)) - np.uint64(1))
+            rank = (np.bitwise_count(inside) * earlier).sum(1, dtype=np.int64) + np.bitwise_count(below)
+            places = self._read("<u4", blocks, directory)[block].astype(np.int64) + rank
+        return values
+
     def all_ids(self) -> np.ndarray:
         values = None
-        for chunks, bitmap, _ in reversed(self.levels):
-            level = chunks.astype("<u4")
+        for count, chunks, bitmap, _ in reversed(self.levels):
+            level = self._read(np.uint8, count, chunks).astype("<u4")
             if values is not None and len(values):
-                more = np.unpackbits(bitmap, bitorder="little")[: len(chunks)].astype(bool)
+                bits = self._read(np.uint8, -(-count // RANK_BLOCK) * RANK_BLOCK // 8, bitmap)
+                more = np.unpackbits(bits, bitorder="little")[:count].astype(bool)
                 level[more] |= values << np.uint32(CHUNK_BITS)
             values = level
         return values
@@ -148,32 +182,31 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> Da
     Texts are dealt by ranges of doc_id, so that each task writes a run of the order and no
     task needs to know the others.
     """
-    end = np.array([end_id], "<u4").tobytes()
-
     def write(batches):
         from pyspark import TaskContext
 
         encoder, part, seq = unit_encoder(tokenizer), TaskContext.get().partitionId(), 0
-        doc_ids, encoded, held = [], [], 0
+        doc_ids: list[int | None] = []
+        encoded: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
 
         def flush():
             path = attempt_name(folder, ".dac")
-            ids = np.frombuffer(b"".join(encoded), "<u4")
-            counts = np.array([len(x) // 4 for x in encoded], np.int64)
+            ids = np.concatenate(encoded)
             with open_new(path) as out:
-                out.write(pack(doc_ids, counts, ids))
+                out.write(pack(doc_ids, np.concatenate(counts), ids))
             return batch_of(FILES, [[part], [seq], [path], [len(ids)], [len(doc_ids)]])
 
         for batch in batches:
             numbers, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for low, high in slices(texts):
-                for doc_id, ids in zip(numbers[low:high], encoder.encode(texts[low:high]), strict=True):
-                    doc_ids.append(doc_id)
-                    encoded.append(ids + end)
-                    held += len(ids) // 4 + 1
-                    if held >= FILE_IDS:
-                        yield flush()
-                        doc_ids, encoded, held, seq = [], [], 0, seq + 1
+            for low, high in slices(texts, SLICE):
+                ids, sizes = encoder.flat(texts[low:high], end_id)
+                doc_ids += numbers[low:high]
+                encoded.append(ids)
+                counts.append(sizes)
+                if sum(map(len, encoded)) >= FILE_IDS:
+                    yield flush()
+                    doc_ids, encoded, counts, seq = [], [], [], seq + 1
         if doc_ids:
             yield flush()
 
@@ -183,25 +216,78 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> Da
     return materialise(dealt.mapInArrow(write, FILES_DDL), "token-files")
 
 
-def read_codes(files: DataFrame) -> DataFrame:
-    """One row per document of the listed files: its place among all ids, length and checksum."""
-    # One row per file, not per document: the running sum is over the list of files.
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    based = files.select(
-        "path", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base")
+def placed(files: DataFrame) -> DataFrame:
+    """path, ids, docs and base, the place of a file's first id among all ids, of every file.
+
+    Counts of the parts are added up first, then those of the files of each part: no task orders all files.
+    """
+    parts = files.groupBy("part").agg(F.sum("ids").alias("part_ids"))
+    before_part = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", F.coalesce(F.sum("part_ids").over(before_part), F.lit(0)).alias("part_base"))
+    before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    inside = files.withColumn("inside", F.coalesce(F.sum("ids").over(before), F.lit(0)))
+    return inside.join(parts, "part").select(
+        "path", "ids", "docs", (F.col("part_base") + F.col("inside")).alias("base")
     )
-    count = max(1, files.count())
+
+
+def read_codes(files: DataFrame) -> DataFrame:
+    """One row per document of the listed files: its place among all ids, length and checksum.
+
+    Every file's first and last id of each document are also read by rank, and must be the same.
+    """
+    based = materialise(placed(files).select("path", "base"), "token-bases")
 
     def read(batches):
         for batch in batches:
             for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 with open_there(path) as file:
                     held = TokenFile(file.read())
-                data, starts = held.all_ids().tobytes(), held.starts
-                sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+                ids, starts = held.all_ids(), held.starts
+                kept = np.flatnonzero(np.diff(starts) > 0)
+                for edge in (starts[:-1][kept], starts[1:][kept] - 1):
+                    if (held.at(edge) != ids[edge]).any():
+                        raise ValueError(f"ranks and levels differ in {path}")
+                data = memoryview(ids.tobytes())
+                ends = (4 * starts).tolist()
+                sums = [zlib.crc32(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield batch_of(CODED, [held.doc_ids, base + starts[:-1], np.diff(starts), sums])
 
-    return based.repartition(min(count, 20_000)).mapInArrow(read, CODED_DDL)
+    return based.repartition(max(1, based.count())).mapInArrow(read, CODED_DDL)
+
+
+def tokens_at(files: DataFrame, wanted: DataFrame, place: str = "place") -> DataFrame:
+    """The asked places (a column of longs, counted over all files) with the id there, read by rank.
+
+    A place that no file has, or null, gives id null. Of a file, only its list of levels and what the
+    asked places need is read.
+    """
+    first, last = F.col("base"), F.col("base") + F.col("ids") - 1
+    ranges = F.sequence(F.floor(first / RANGE), F.floor(last / RANGE))
+    spread = placed(files).select("path", "base", "ids", F.explode(ranges).alias("range"))
+    asked = wanted.select(F.col(place).cast("long").alias("place")).distinct()
+    near = asked.withColumn("range", F.floor(F.col("place") / RANGE)).join(spread, "range")
+    inside = near.where("place >= base and place < base + ids").select("path", "place", "base")
+
+    def read(batches):
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            places = batch.column(1).to_numpy()
+            bases = batch.column(2).to_numpy()
+            cuts = [0, *(k for k in range(1, len(paths)) if paths[k] != paths[k - 1]), len(paths)]
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                if low == high:
+                    continue
+                with open_there(paths[low]) as file:
+                    held = TokenFile(file)
+                    some = places[low:high] - bases[low:high]
+                    # A few ids are fetched by seek; many are read with their levels.
+                    ids = held.at(some) if len(some) > 1_000 else [held[int(k)] for k in some]
+                yield batch_of(READ, [places[low:high], ids])
+
+    sorted_by_file = inside.repartition("path", F.pmod(F.col("place"), F.lit(16))).sortWithinPartitions("path", "place")
+    found = sorted_by_file.mapInArrow(read, READ_DDL)
+    return asked.join(found, "place", "left")
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:

@@ -33,6 +33,35 @@ def test_codes_give_any_id():
         file[5000]
 
 
+def test_codes_are_read_by_seek(tmp_path):
+    rng = random.Random(2)
+    ids = np.array([rng.choice([0, 255, 256, 50_000, 70_000, 2**31]) for _ in range(3000)], "<u4")
+    path = tmp_path / "codes"
+    path.write_bytes(token_codes.pack([1, 2], np.array([1000, 2000]), ids))
+    with token_codes.open_there(str(path)) as source:
+        file = token_codes.TokenFile(source)
+        assert [file[i] for i in range(0, 3000, 7)] == ids[::7].tolist()
+        places = np.array(rng.sample(range(3000), 900))
+        assert (file.at(places) == ids[places]).all() and len(file.at(places[:0])) == 0
+
+
+def test_tokens_at(spark, docs, rows, monkeypatch, tmp_path):
+    for name, size in (("FILE_IDS", 3000), ("RANGE", 1000), ("SLICE", 5000)):
+        monkeypatch.setattr(token_codes, name, size)
+    files = token_codes.write_codes(docs, TOKENIZER, 0, token_codes.new_folder(spark, "codes"))
+    assert files.count() > 3
+    coded = sorted(token_codes.read_codes(files).collect(), key=lambda r: r.start)
+    total = coded[-1].start + coded[-1].n_tokens
+    wanted = spark.createDataFrame([(p,) for p in [*range(total), total, -1, None, 0]], "place long")
+    found = {r.place: r.id for r in token_codes.tokens_at(files, wanted).collect()}
+    assert found[total] is None and found[-1] is None and len(found) >= total + 2
+    for r in coded:
+        ids = np.array([found[p] for p in range(r.start, r.start + r.n_tokens)], "<u4")
+        assert zlib.crc32(ids.tobytes()) == r.ids_crc32
+    few = token_codes.tokens_at(files, wanted.where("place % 501 = 0 or place is null")).collect()
+    assert all(r.id == found[r.place] for r in few if r.place is not None)
+
+
 def test_codes_of_small_ids_have_one_level():
     file = token_codes.TokenFile(token_codes.pack([1], np.array([3]), np.array([0, 1, 2])))
     assert len(file.levels) == 1 and [file[i] for i in range(3)] == [0, 1, 2]
