@@ -37,10 +37,15 @@ def clean_open_data(
     return rent, ingest, summary
 
 
-def clean_and_load(raw: DataFrame, output: str, table: str, replace: bool = True) -> dict:
-    """Clean open data, load the transaction table and tell what was loaded."""
+def clean_and_load(
+    raw: DataFrame, output: str, table: str, replace: bool = True, key: str | None = None
+) -> dict:
+    """Clean open data, load the transaction table and tell what was loaded.
+
+    A load that is repeated with its key is not added twice.
+    """
     _, ingest, _ = clean_open_data(raw, output, require_rows=True)
-    count = warehouse.save_transactions(ingest, table, replace)
+    count = warehouse.save_transactions(ingest, table, replace, key)
     districts = metrics.distinct_districts(ingest).first()["districts"]
     return {
         "ingested": count,

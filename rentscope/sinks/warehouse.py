@@ -1,5 +1,7 @@
 """The four stored tables: transactions, metrics, recommendations, clusters.
 
+The transaction table is a versioned table (sinks/versions.py): it is replaced or extended by commits.
+
 Replacing several tables at once goes through a version: each table is written below
 a new version folder, and one appended row publishes the version when all are there.
 Readers take the newest published version, so they never see half a replacement.
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.operators.cleaning import normalise_transactions
-from rentscope.session import materialise
+from rentscope.sinks import versions
 
 NOT_NULL = [
     "district", "building_type", "area_ping", "rent_ntd", "rent_per_ping", "transaction_date",
@@ -33,16 +35,12 @@ def transactions_table(df: DataFrame) -> DataFrame:
     return rows.withColumns(checked).withColumn("ingested_at", F.current_timestamp())
 
 
-def save_transactions(df: DataFrame, path: str, replace: bool = True) -> int:
-    """Replace or extend the transaction table; returns the rows written."""
-    rows = transactions_table(df)
-    seen = Observation()
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if replace:
-        # Whole before the table is touched: rows may come from the table itself, or fail.
-        rows = materialise(rows, "replacement")
-    rows.write.mode("overwrite" if replace else "append").parquet(path)
-    return seen.get["rows"]
+def save_transactions(df: DataFrame, path: str, replace: bool = True, key: str | None = None) -> int:
+    """Replace or extend the transaction table; returns the rows written.
+
+    A load with a key that the table already has is not written again.
+    """
+    return versions.write(transactions_table(df), path, replace, key)
 
 
 def publish(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rentscope.sinks import versions
+
 TRANSACTION_COLUMNS = [
     "district", "building_type", "area_ping", "rent_ntd", "rent_per_ping", "transaction_date",
 ]
@@ -54,11 +56,23 @@ def with_source_file(df: DataFrame, root: str = "") -> DataFrame:
     return df.withColumn("source_file", path)
 
 
-def load_transactions(spark: SparkSession, path: str) -> DataFrame:
+def stored_rows(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The rows of a stored table at one version (default: the newest), or of a plain folder of Parquet files."""
+    try:
+        return versions.read(spark, path, version)
+    except versions.NoSuchTable:
+        if version is not None or _exists(spark, f"{path}/loads"):
+            raise
+        return spark.read.parquet(path)
+
+
+def load_transactions(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The transaction columns that metrics need."""
-    return spark.read.parquet(path).select(*TRANSACTION_COLUMNS)
+    return stored_rows(spark, path, version).select(*TRANSACTION_COLUMNS)
 
 
-def load_points(spark: SparkSession, path: str, keys: tuple[str, ...] = ("district",)) -> DataFrame:
+def load_points(
+    spark: SparkSession, path: str, keys: tuple[str, ...] = ("district",), version: int | None = None
+) -> DataFrame:
     """The transaction columns that clustering needs."""
-    return spark.read.parquet(path).select(*keys, "area_ping", "rent_per_ping")
+    return stored_rows(spark, path, version).select(*keys, "area_ping", "rent_per_ping")

@@ -7,7 +7,7 @@ import pytest
 from rentscope.operators import cleaning, metrics
 from rentscope.plans import jobs
 from rentscope.sinks import files, warehouse
-from rentscope.sources import rent_csv
+from rentscope.sources import documents, rent_csv
 
 HEADER = "DISTRICT, BUITYPE,FAREA,TPRICE,UPRICE,SDATE,CASE_T,RENT_TYPE\n"
 ROWS = (
@@ -51,8 +51,8 @@ def test_mixed_encodings_and_undecodable(spark, tmp_path):
         write(tmp_path, "b.csv", HEADER + ROWS, "big5"),
         write(tmp_path, "c.csv", rare, "cp950"),
     ]
-    found = rent_csv.files_by_encoding(spark, paths)
-    assert {k: len(v) for k, v in found.items()} == {"utf-8": 1, "big5": 1, "x-windows-950": 1}
+    found = rent_csv.file_formats(rent_csv.raw_lines(spark, paths))
+    assert sorted(r.encoding for r in found.collect()) == ["big5", "utf-8", "x-windows-950"]
     raw = rent_csv.read_rent_csv(spark, *paths)
     assert raw.count() == 15
     assert raw.filter("BUITYPE = '碁銹裏墻恒粧嫺'").count() == 1
@@ -62,6 +62,58 @@ def test_mixed_encodings_and_undecodable(spark, tmp_path):
         rent_csv.read_rent_csv(spark, str(bad))
 
 
+def test_each_file_has_its_own_columns_and_encoding(spark, tmp_path):
+    """Orders, gaps and encodings differ from file to file; small pieces split the files."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    paths, wanted = [], []
+    try:
+        for k, encoding in enumerate(["utf-8", "utf-8-sig", "big5", "cp950"] * 3):
+            names = ["DISTRICT", " FAREA ", "BUITYPE", f"ONLY_{k}"]
+            names = names[k % 4 :] + names[: k % 4]
+            lines = [",".join(names)]
+            for i in range(40):
+                cells = {"DISTRICT": "大安區", "FAREA": str(i), "BUITYPE": f'"華, ""廈{i}"""', "only": "許功蓋"}
+                lines.append(",".join(cells.get(n.strip(), cells["only"]) for n in names))
+                wanted.append(("大安區", str(i), f'華, "廈{i}"', k))
+            end = "\r\n" if k % 2 else "\n"
+            folder = tmp_path / f"{k} é+%"
+            folder.mkdir()
+            paths.append(write(folder, "x.csv", end.join([*lines, "", ""]), encoding))
+        raw = rent_csv.read_rent_csv(spark, *paths)
+        assert set(raw.columns) == {"DISTRICT", "FAREA", "BUITYPE", *(f"ONLY_{k}" for k in range(12))}
+        got = []
+        for r in raw.collect():
+            only = [k for k in range(12) if r[f"ONLY_{k}"] is not None]
+            assert [r[f"ONLY_{k}"] for k in only] == ["許功蓋"]
+            got.append((r.DISTRICT, r.FAREA, r.BUITYPE, only[0]))
+        assert sorted(got) == sorted(wanted)
+        assert sorted(r.DISTRICT for r in rent_csv.read_rent_csv(spark, *paths, multi_line=True).collect()) == ["大安區"] * 480
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_csv_odd_files(spark, tmp_path):
+    empty, only_header = write(tmp_path, "e.csv", "\n \n", "utf-8"), write(tmp_path, "h.csv", "A,B\n", "utf-8")
+    raw = rent_csv.read_rent_csv(spark, empty, only_header)
+    assert raw.columns == ["A", "B"] and raw.count() == 0
+    with pytest.raises(FileNotFoundError):
+        rent_csv.read_rent_csv(spark, empty)
+    odd = write(tmp_path, "o.csv", "A,B,A,\n1,2,3,4,5\n6\nA,B,A,\n,\"\",null,x\n", "big5")
+    rows = [tuple(r) for r in rent_csv.read_rent_csv(spark, odd).select("A", "B").collect()]
+    assert sorted(rows, key=repr) == sorted([("1", "2"), ("6", None), ("A", "B"), (None, None)], key=repr)
+
+
+def test_undecodable_files_are_named(spark, tmp_path):
+    good = write(tmp_path, "good.csv", "A,B\n1,2\n", "utf-8")
+    bad = []
+    for k in range(7):
+        path = tmp_path / f"bad {k}.csv"
+        path.write_bytes(b"A,B\n1,2\n\xff\xff\xfe,1\n")
+        bad.append(str(path))
+    with pytest.raises(ValueError, match=r"cannot decode 7 files, .*bad \d\.csv"):
+        rent_csv.read_rent_csv(spark, good, *bad)
+
+
 def test_filter_errors(spark):
     df = spark.createDataFrame([("x",)], "CASE_T string")
     assert cleaning.rental_rows(df).isEmpty()
@@ -104,8 +156,8 @@ def test_load_job_and_null_check(spark, tmp_path):
     rows = rent_csv.read_ingest_csv(spark, told["ingest_csv"])
     assert rows.columns[0] == "district" and rows.count() == 3
     assert warehouse.save_transactions(rows, table, replace=False) == 3
-    assert spark.read.parquet(table).count() == 6
-    summary = metrics.transactions_summary(spark.read.parquet(table)).first()
+    assert documents.stored_rows(spark, table).count() == 6
+    summary = metrics.transactions_summary(documents.stored_rows(spark, table)).first()
     assert summary.total_transactions == 6 and summary.districts == ["中山區", "信義區", "大安區"]
     with pytest.raises(Exception, match="district is missing"):
         warehouse.save_transactions(rows.selectExpr("* except (district)", "null as district"), table)

@@ -2,12 +2,13 @@
 
 import csv
 
+import pytest
 from pyspark.sql import functions as F
 
 from rentscope import schemas
 from rentscope.operators import metrics, segments
 from rentscope.plans import jobs
-from rentscope.sinks import files, warehouse
+from rentscope.sinks import files, versions, warehouse
 from rentscope.sources import documents
 from rentscope.streaming import ingest
 
@@ -50,7 +51,7 @@ def test_load_and_snapshots(spark, tmp_path):
     assert warehouse.save_transactions(transactions(spark), path) == 200
     assert documents.load_transactions(spark, path).columns == documents.TRANSACTION_COLUMNS
     assert documents.load_points(spark, path).columns == ["district", "area_ping", "rent_per_ping"]
-    stored = spark.read.parquet(path)
+    stored = documents.stored_rows(spark, path)
     found = metrics.district_metrics(stored)
     clusters, _ = segments.segment(stored)
     out = str(tmp_path / "out")
@@ -76,15 +77,99 @@ def test_incremental_append(spark, tmp_path):
     for expected in (200, 400):
         rows.write.mode("append").csv(folder, header=True)
         ingest.append_new_files(spark, folder, table, progress)
-        assert spark.read.parquet(table).count() == expected
+        assert documents.stored_rows(spark, table).count() == expected
     ingest.append_new_files(spark, folder, table, progress)
-    assert spark.read.parquet(table).count() == 400
-    assert spark.read.parquet(table).filter("ingested_at is null").isEmpty()
+    assert documents.stored_rows(spark, table).count() == 400
+    assert documents.stored_rows(spark, table).filter("ingested_at is null").isEmpty()
 
 
 def test_replace_from_itself(spark, tmp_path):
     path = str(tmp_path / "own")
     warehouse.save_transactions(transactions(spark), path)
-    again = spark.read.parquet(path).drop("ingested_at").limit(50)
+    again = documents.stored_rows(spark, path).drop("ingested_at").limit(50)
     assert warehouse.save_transactions(again, path) == 50
-    assert spark.read.parquet(path).count() == 50
+    assert documents.stored_rows(spark, path).count() == 50
+
+
+def ids(spark, path, version=None):
+    return sorted(r.rent_ntd for r in documents.load_transactions(spark, path, version).collect())
+
+
+def test_readers_are_pinned(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "pinned")
+    rows = transactions(spark, 60)
+    warehouse.save_transactions(rows.where("rent_ntd < 5400"), path)
+    first, opened = versions.newest(spark, path), documents.load_transactions(spark, path)
+    warehouse.save_transactions(rows.where("rent_ntd >= 5400"), path, replace=False)
+    assert len(ids(spark, path)) == 60 and len(ids(spark, path, first)) == 40
+
+    def lost(*_):
+        raise ConnectionError("the driver is gone")
+
+    # A replacement whose rows are all written, but that is not committed.
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "_commit", lost)
+        with pytest.raises(ConnectionError):
+            warehouse.save_transactions(rows.where("rent_ntd < 5100"), path)
+    assert len(ids(spark, path)) == 60
+    # Rows that fail half-way.
+    with pytest.raises(Exception, match="rent_ntd is missing"):
+        warehouse.save_transactions(rows.withColumn("rent_ntd", F.when(F.col("rent_ntd") < 5500, F.col("rent_ntd"))), path)
+    assert len(ids(spark, path)) == 60
+    warehouse.save_transactions(rows.where("rent_ntd < 5100"), path)
+    assert len(ids(spark, path)) == 10 and len(ids(spark, path, first)) == 40 and opened.count() == 40
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, path, 0)
+
+
+def test_a_repeated_load_adds_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "keys")
+    rows = transactions(spark, 30)
+    warehouse.save_transactions(rows, path, key="base")
+    commit = versions._commit
+
+    def answer_lost(*given):
+        commit(*given)
+        raise ConnectionError("committed, but nobody knows")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "_commit", answer_lost)
+        with pytest.raises(ConnectionError):
+            warehouse.save_transactions(rows.limit(7), path, replace=False, key="seven")
+    assert warehouse.save_transactions(rows.limit(7), path, replace=False, key="seven") == 7
+    assert documents.stored_rows(spark, path).count() == 37
+    warehouse.save_transactions(rows.limit(3), path, key="three")
+    # The key of a load that was replaced since is still known.
+    assert warehouse.save_transactions(rows.limit(7), path, replace=False, key="seven") == 7
+    assert documents.stored_rows(spark, path).count() == 3
+
+
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "two")
+    rows = transactions(spark, 20)
+    warehouse.save_transactions(rows, path)
+    newest, late = versions.newest, []
+
+    def overtaken(session, table):
+        found = newest(session, table)
+        if not late:
+            late.append(True)
+            warehouse.save_transactions(rows.limit(5), path, replace=False)
+        return found
+
+    monkeypatch.setattr(versions, "newest", overtaken)
+    warehouse.save_transactions(rows.limit(4), path, replace=False)
+    assert newest(spark, path) == 3 and documents.stored_rows(spark, path).count() == 29
+
+
+def test_manifest_of_a_version(spark, tmp_path):
+    path = tmp_path / "parts"
+    warehouse.save_transactions(transactions(spark, 40).repartition(3), str(path))
+    warehouse.save_transactions(transactions(spark, 9).limit(0), str(path), replace=False)
+    warehouse.save_transactions(transactions(spark, 9), str(path), replace=False)
+    told = versions.parts(spark, str(path)).collect()
+    assert sum(r.rows for r in told) == 49 and all(r.bytes > 0 for r in told)
+    assert versions.damaged(spark, str(path)).count() == 0
+    gone = next(path.glob(f"loads/{told[0].load}/{told[0].file}"))
+    gone.write_bytes(b"PAR1")
+    assert [r.file for r in versions.damaged(spark, str(path)).collect()] == [told[0].file]

@@ -20,7 +20,7 @@ from rentscope.operators import (
 )
 from rentscope.plans import jobs
 from rentscope.session import materialise, scratch_path
-from rentscope.sinks import files, warehouse
+from rentscope.sinks import files, versions, warehouse
 from rentscope.sources import documents, feeds, html_pages, rent_csv
 from rentscope.streaming import ingest as stream_ingest
 from workload import tables
@@ -657,12 +657,16 @@ def report_head(spark, sf):
 # --- stored tables ----------------------------------------------------------------------
 
 def stored_transactions(spark, sf):
-    """Transactions replaced, then extended, in the stored table, and read back."""
+    """Transactions replaced, then extended by a load that comes twice, and read while a later one is pending."""
     path = scratch_path(spark, "transactions")
     rows = transactions(spark, sf).drop("row_key")
     warehouse.save_transactions(rows, path)
-    warehouse.save_transactions(rows.filter("area_ping < 10"), path, replace=False)
-    read = documents.load_transactions(spark, path)
+    for _ in range(2):
+        warehouse.save_transactions(rows.filter("area_ping < 10"), path, replace=False, key="small")
+    pinned = versions.newest(spark, path)
+    rows.filter("area_ping >= 10").write.parquet(f"{path}/loads/pending")
+    warehouse.save_transactions(rows.filter("area_ping < 20"), path)
+    read = documents.load_transactions(spark, path, pinned)
     return read.groupBy("district", "building_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum("rent_ntd").alias("rent_ntd"),
         F.round(F.sum("rent_per_ping"), 2).alias("rent_per_ping"),
@@ -765,7 +769,7 @@ def streamed_transactions(spark, sf):
     for part in (rows.filter(early), rows.filter(~early)):
         part.write.mode("append").csv(f"{path}/in", header=True)
         stream_ingest.append_new_files(spark, f"{path}/in", f"{path}/table", f"{path}/progress")
-    return spark.read.parquet(f"{path}/table").groupBy("district").agg(
+    return documents.stored_rows(spark, f"{path}/table").groupBy("district").agg(
         F.count(F.lit(1)).alias("n"), F.sum("rent_ntd").alias("rent_ntd")
     )
 
