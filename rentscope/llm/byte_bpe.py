@@ -45,8 +45,10 @@ RESULT = [
     ("ids_sha256", pa.string()),
     ("decoded_sha256", pa.string()),
 ]
-CUT = pa.schema([*RESULT, ("row", pa.int64()), ("seq", pa.int32()), ("last", pa.bool_()), ("chunk", pa.string())])
-CUT_DDL = f"{RESULT_DDL}, row long, seq int, last boolean, chunk string"
+CUT = pa.schema(
+    [("doc_id", pa.int64()), ("row", pa.int64()), ("seq", pa.int32()), ("last", pa.bool_()), ("chunk", pa.string())]
+)
+CUT_DDL = "doc_id long, row long, seq int, last boolean, chunk string"
 BORDERS = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -128,33 +130,80 @@ def _batches(schema: pa.Schema, rows, limit: int = 4 << 20):
         yield batch_of(schema, list(zip(*held, strict=True)))
 
 
-def encode(
+def encode_pieces(
     docs: DataFrame, ranks: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP
 ) -> DataFrame:
-    """One row per document: doc_id, n_tokens, and digests of its ids and of the decoded bytes."""
+    """The ids of every document: doc_id, row (told apart by place), run (order of its pieces), ids, alone.
+
+    A text of one chunk is one piece, alone; a longer one has a piece for each run of chunks.
+    """
     rows = keyed_texts(docs).withColumn("row", F.monotonically_increasing_id())
+    short = F.length("text") <= chunk + overlap
 
-    def cut(batches):
+    def whole(batches):
         encoder = rank_encoder(ranks, pattern)
+        yield from _batches(PIECE, ((doc_id, row, 0, encoder.encode(text)) for doc_id, text, row in _rows(batches)))
 
+    def cut(batches):
         def produced():
             for doc_id, text, row in _rows(batches):
-                if len(text) <= chunk + overlap:
-                    ids = encoder.encode(text)
-                    digests = (hashlib.sha256(ids), hashlib.sha256(encoder.decode(ids)))
-                    yield (doc_id, len(ids) // 4, *(d.hexdigest() for d in digests), row, None, None, None)
-                else:
-                    starts = range(0, len(text) - overlap, chunk)
-                    for seq, at in enumerate(starts):
-                        part = text[at : at + chunk + overlap]
-                        yield (doc_id, None, None, None, row, seq, at + len(part) == len(text), part)
+                for seq, at in enumerate(range(0, len(text) - overlap, chunk)):
+                    part = text[at : at + chunk + overlap]
+                    yield doc_id, row, seq, at + len(part) == len(text), part
 
         yield from _batches(CUT, produced())
 
-    found = materialise(rows.mapInArrow(cut, CUT_DDL), "bpe-cut")
-    short = found.where("seq is null").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
-    chunks = found.where("seq is not null").select("doc_id", "row", "seq", "last", "chunk")
-    return short.unionByName(_assembled(_stitched(chunks, ranks, pattern, chunk, overlap), ranks, pattern))
+    alone = rows.where(short).mapInArrow(whole, PIECE_DDL).withColumn("alone", F.lit(True))
+    chunks = materialise(rows.where(~short).mapInArrow(cut, CUT_DDL), "bpe-cut")
+    pieces = _stitched(chunks, ranks, pattern, chunk, overlap)
+    return alone.unionByName(pieces.withColumn("alone", F.lit(False)))
+
+
+def decode_pieces(pieces: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """doc_id, row, run, data (bytes) and alone of pieces with ids. A piece may end within a character."""
+    schema = pa.schema([*PIECE][:3] + [pa.field("data", pa.binary()), pa.field("alone", pa.bool_())])
+
+    def run(batches):
+        encoder = rank_encoder(ranks, pattern)
+        rows = ((*row[:3], encoder.decode(row[3]), row[4]) for row in _rows(batches))
+        yield from _batches(schema, rows)
+
+    columns = ["doc_id", "row", "run", "ids", "alone"]
+    return pieces.select(*columns).mapInArrow(run, "doc_id long, row long, run long, data binary, alone boolean")
+
+
+def texts(decoded: DataFrame) -> DataFrame:
+    """doc_id and text of decoded pieces. A text is one value, so the pieces of one meet in one task."""
+    joined = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("run", "data"))),
+        F.lit(b"").cast("binary"),
+        lambda all_, piece: F.concat(all_, piece["data"]),
+    )
+    long = decoded.where("not alone").groupBy("row").agg(F.first("doc_id").alias("doc_id"), joined.alias("data"))
+    both = decoded.where("alone").select("doc_id", "data").unionByName(long.select("doc_id", "data"))
+    return both.select("doc_id", F.col("data").cast("string").alias("text"))
+
+
+def digests(pieces: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """One row per document: doc_id, n_tokens, and digests of its ids and of the decoded bytes."""
+
+    def single(batches):
+        encoder = rank_encoder(ranks, pattern)
+        rows = (
+            (doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest())
+            for doc_id, ids in _rows(batches)
+        )
+        yield from _batches(pa.schema(RESULT), rows)
+
+    alone = pieces.where("alone").select("doc_id", "ids").mapInArrow(single, RESULT_DDL)
+    return alone.unionByName(_assembled(pieces.where("not alone"), ranks, pattern))
+
+
+def encode(
+    docs: DataFrame, ranks: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP
+) -> DataFrame:
+    """The digests of every document's ids and of what they decode to."""
+    return digests(encode_pieces(docs, ranks, pattern, chunk, overlap), ranks, pattern)
 
 
 def _stitched(chunks: DataFrame, ranks: str, pattern: str, chunk: int, overlap: int) -> DataFrame:

@@ -26,6 +26,19 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def named(name: str) -> Column:
+    """A column by its exact name, whatever signs are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(name: str, *tables: DataFrame) -> str:
+    """The name, with marks behind it until none of the tables has it."""
+    taken = {c.lower() for table in tables for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """body(value) with the value computed once per row, not once per use or element."""
     return F.transform(F.array(value), body)[0]

@@ -75,7 +75,7 @@ from d
 
 QUALITY_RULES = r"""
 with d as (
-  select doc_id, coalesce(source, '') as host, coalesce(text, '') as text,
+  select doc_id, nullif(source, '') as host, coalesce(text, '') as text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
   from documents),
 w as (
@@ -97,7 +97,7 @@ f as (
   select *, n_words < 20 as short, 100 * n_repeat_words > 30 * n_words as repeated from s),
 h as (
   select host, count(*)::double as n, sum(short::int)::double as fs, sum(repeated::int)::double as fr
-  from f group by host),
+  from f where host is not null group by host),
 t as (
   select count(*) as hosts, sum(n) as n, sum(fs) / sum(n) as ms, sum(fr) / sum(n) as mr,
          sum(fs * fs / n) as qs, sum(fr * fr / n) as qr from h),

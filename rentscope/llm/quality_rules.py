@@ -9,8 +9,8 @@ with all its documents.
 Windows are compared within a row by 64-bit hashes, and equal hashes are confirmed word by
 word, so no word or window is ever shuffled.
 
-Defined cases: a null text has no words; documents without a host (null or empty) are judged
-together as one; an empty table gives no rows. Other columns are not read.
+Defined cases: a null text has no words; documents without a host (null or empty) share
+none and are judged by the base rules alone; an empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentscope.llm.common import WORD_GAPS, let
+from rentscope.llm.common import WORD_GAPS, let, named
 from rentscope.session import materialise
 
 WINDOW = 8
@@ -114,15 +114,14 @@ def failures(stats: Column) -> Column:
 def measured(docs: DataFrame, host_col: str, keep: list[str]) -> DataFrame:
     """The kept columns of every row with _host, _stats and _failed."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(
-        *keep, F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("_host"), statistics(text).alias("_stats")
-    )
+    host = F.nullif(F.col(host_col).cast("string"), F.lit(""))
+    rows = docs.select(*keep, host.alias("_host"), statistics(text).alias("_stats"))
     return rows.withColumn("_failed", failures(F.col("_stats")))
 
 
 def rejected_hosts(rows: DataFrame) -> DataFrame:
     """Hosts whose shrunk failure rate in some rule is above the limit."""
-    hosts = rows.groupBy("_host").agg(
+    hosts = rows.where("_host is not null").groupBy("_host").agg(
         F.count(F.lit(1)).alias("n"),
         *(F.count_if(F.col(f"_failed.{rule}")).alias(rule) for rule in RULES),
     )
@@ -176,7 +175,7 @@ def keep_good(docs: DataFrame, host_col: str = "source") -> DataFrame:
     for their host's count only.
     """
     columns = docs.columns
-    whole = F.struct(*(F.col(c) for c in columns)).alias("_row")
+    whole = F.struct(*map(named, columns)).alias("_row")
     rows = measured(docs.select(whole, *_clean_names(docs, host_col)), "_source_of", ["_row"])
     failed = F.col("_failed.short") | F.col("_failed.repeated")
     rows = rows.select("_host", "_failed", F.when(~failed, F.col("_row")).alias("_row"))
@@ -186,4 +185,4 @@ def keep_good(docs: DataFrame, host_col: str = "source") -> DataFrame:
 
 
 def _clean_names(docs: DataFrame, host_col: str) -> list[Column]:
-    return [F.col("text").alias("text"), F.col(host_col).alias("_source_of")]
+    return [F.col("text").alias("text"), named(host_col).alias("_source_of")]

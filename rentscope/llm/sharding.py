@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rentscope.llm.common import named
 from rentscope.session import materialise
 
 HEX_DIGITS = 13  # 52 bits, exact in a double
@@ -81,6 +82,28 @@ def with_slots(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
+def records(docs: DataFrame, weights: Sequence[float], key: str = "doc_id") -> DataFrame:
+    """shard, slot, size, text_crc32 and the whole record, as a struct, of every row.
+
+    The record moves once, to its range of shard and key; ``write_shards`` keeps that order.
+    """
+    whole = F.struct(*map(named, docs.columns)).alias("record")
+    text = F.coalesce(F.col("record.text").cast("string"), F.lit(""))
+    rows = docs.select(whole).select(
+        F.col("record")[key].alias("_key"),
+        (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        shard_of(F.col("record")[key], weights).cast("int").alias("shard"),
+        "record",
+    )
+    return with_slots(rows, "_key").drop("_key")
+
+
+def write_shards(placed: DataFrame, folder: str) -> None:
+    """Every shard's records in a folder of its own, with their slots; a shard of any size has many files."""
+    placed.select("shard", "slot", "record.*").write.partitionBy("shard").parquet(folder)
+
+
 def shard(docs: DataFrame, weights: Sequence[float], key: str = "doc_id") -> DataFrame:
     """Every row with its shard, its slot, and its shard if there were one more."""
     return with_slots(assign(docs, weights, key), key).withColumn("law", F.lit("key"))

@@ -11,7 +11,10 @@ last one may end behind it.
 
 Defined cases: a null payload is empty; a null identifier is written without a number and
 read back as null; rows that repeat the largest identifier are responses as well; an empty
-table gives no archive and no record. Other columns of the input are not read.
+table gives no archive and no record. Other columns of the input are not read. Archives of others are read as
+well: records of every type come back, with what they do not have as null. Nothing is lost in silence: where
+bytes of an archive are in no readable record, or a payload differs from its digest, a row says so in
+``problem``.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ ARCHIVE_BYTES = 256 << 20
 SPLIT_BYTES = 8 << 20
 BLOCK = 1 << 18
 MAGIC = b"\x1f\x8b\x08"
+VERSION = b"WARC/1."
 LEVEL = 4
 PAGE_URN = "urn:rentscope:page:"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -45,11 +49,13 @@ RECORD = pa.schema(
         ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()),
         ("payload", pa.binary()),
+        ("path", pa.string()),
+        ("problem", pa.string()),
     ]
 )
 RECORD_DDL = (
     "page_id long, uri string, record_type string, refers_to long, payload_bytes long, "
-    "payload_digest string, payload binary"
+    "payload_digest string, payload binary, path string, problem string"
 )
 
 
@@ -59,8 +65,9 @@ RECORD_DDL = (
 def with_originals(pages: DataFrame) -> DataFrame:
     """page_id, uri, payload, and original: the row a revisit refers to, else null.
 
-    Equal payloads are found by SHA-256 and length on narrow rows; only groups of two or
-    more are joined back, so a page moves only if that list is too large to be broadcast.
+    Equal payloads are found by SHA-256 on narrow rows; only groups of two or more are joined
+    back, so a page moves only if that list is too large to be broadcast. Short pages have keys of
+    their own, so that they are dealt to all tasks then.
     """
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     rows = pages.select(
@@ -77,7 +84,8 @@ def with_originals(pages: DataFrame) -> DataFrame:
         .select("same", "original")
     )
     groups = materialise(groups, "warc-groups")
-    joined = rows.join(groups, "same", "left")
+    alone = F.concat(F.lit("#"), F.xxhash64("page_id", "uri").cast("string"))
+    joined = rows.withColumn("same", F.coalesce("same", alone)).join(groups, "same", "left")
     return joined.select(
         "page_id",
         "uri",
@@ -181,31 +189,40 @@ class _Window:
             pos += len(data) - len(MAGIC) + 1
         return None
 
-    def member(self, pos: int) -> tuple[bytes, int] | None:
-        """The record in the member that begins here and the place behind it, or None if
-        this is not a member with a WARC record."""
-        inflate, parts, first = zlib.decompressobj(31), [], True
+    def member(self, pos: int) -> tuple[bytes, int] | bool:
+        """The text of the member that begins here and the place behind it. If it cannot be read, whether
+        it begins as a WARC record does."""
+        if not self._begins_as_record(pos):
+            return False
+        inflate, parts = zlib.decompressobj(31), []
         while not inflate.eof:
             data = self.read(pos)
             if not data:
-                return None
+                return True
             try:
                 parts.append(inflate.decompress(data))
             except zlib.error:
-                return None
-            if first and len(parts[0]) >= 7:
-                first = False
-                if not parts[0].startswith(b"WARC/1."):
-                    return None
+                return True
             pos += len(data) - len(inflate.unused_data)
         return b"".join(parts), pos
 
+    def _begins_as_record(self, pos: int) -> bool:
+        """Whether a member here begins with a record's first bytes, whatever follows."""
+        inflate, head = zlib.decompressobj(31), b""
+        while len(head) < len(VERSION) and (data := self.read(pos)):
+            try:
+                head += inflate.decompress(data[:4096], len(VERSION) - len(head))
+            except zlib.error:
+                return False
+            pos += min(4096, len(data))
+        return head == VERSION
+
 
 def parse(text: bytes) -> tuple[dict[str, str], bytes] | None:
     """Header and block of a record, or None if its length or end mark is wrong."""
     head, border, rest = text.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "replace").split("\r\n")
-    if not border or not lines[0].startswith("WARC/1."):
+    if not border or not lines[0].startswith(VERSION.decode()):
         return None
     fields = {
         name.strip().lower(): value.strip()
@@ -218,17 +235,38 @@ def parse(text: bytes) -> tuple[dict[str, str], bytes] | None:
     return fields, rest[: int(length)]
 
 
-def records_in(file, size: int, start: int, end: int):
-    """(header, block) of the records that start in [start, end)."""
+def _readable(member: tuple[bytes, int] | bool) -> tuple[dict[str, str], bytes] | None:
+    return parse(member[0]) if isinstance(member, tuple) else None
+
+
+def scan(file, size: int, start: int, end: int):
+    """What starts in [start, end): (header, block) of records, and texts that tell of bytes in none.
+
+    A record must begin where the one before it ends. So a task also reads the one behind its last
+    one, and the bytes before the first of a range belong to the range before, except at the start
+    of the file.
+    """
     window, pos = _Window(file, size), start
+    due = 0 if start == 0 else None
     while (pos := window.find_magic(pos, end)) is not None:
         member = window.member(pos)
-        parsed = member and parse(member[0])
+        parsed = _readable(member)
         if parsed:
+            if due is not None and due != pos:
+                yield f"no readable record in bytes {due} to {pos}"
             yield parsed
-            pos = member[1]
+            due = pos = member[1]
         else:
+            if member and due is None:
+                yield f"no readable record at byte {pos}"
             pos += 1
+    if due is not None and due < size and (due < end or not _readable(window.member(due))):
+        yield f"no readable record from byte {due} on"
+
+
+def records_in(file, size: int, start: int, end: int):
+    """(header, block) of the records that start in [start, end)."""
+    return (found for found in scan(file, size, start, end) if isinstance(found, tuple))
 
 
 def _page_id(urn: str | None) -> int | None:
@@ -236,21 +274,36 @@ def _page_id(urn: str | None) -> int | None:
     return int(number) if number.lstrip("-").isdigit() else None
 
 
-def _row(fields: dict[str, str], block: bytes, with_payload: bool) -> tuple:
-    http, _, payload = block.partition(b"\r\n\r\n")
-    kind = fields.get("warc-type")
-    stated = base64.b32decode(fields.get("warc-payload-digest", "").removeprefix("sha1:")).hex()
-    if kind == "response":
-        length, digest = len(payload), hashlib.sha1(payload).hexdigest()
-        if digest != stated:
-            raise ValueError(f"payload of {fields.get('warc-record-id')} differs from its digest")
-    else:
+def _sha1(stated: str) -> str | None:
+    """The hex form of a stated SHA-1, which archives write in base 32 or 16; None for any other digest."""
+    kind, _, value = stated.partition(":")
+    if kind.strip().lower() != "sha1":
+        return None
+    try:
+        return (base64.b32decode(value.upper()) if len(value) == 32 else bytes.fromhex(value)).hex()
+    except ValueError:
+        return None
+
+
+def _row(fields: dict[str, str], block: bytes, with_payload: bool, path: str | None = None) -> tuple:
+    """A record as a row. The payload of an HTTP message is what follows its header, of others the block."""
+    kind, problem = fields.get("warc-type"), None
+    stated = _sha1(fields.get("warc-payload-digest", ""))
+    is_http = fields.get("content-type", "").lower().startswith("application/http")
+    head, _, payload = block.partition(b"\r\n\r\n") if is_http else (b"", b"", block)
+    if kind == "revisit":
+        # Its payload is elsewhere; its header may tell how long that is.
         lengths = [
-            line.partition(b":")[2]
-            for line in http.split(b"\r\n")
+            line.partition(b":")[2].strip()
+            for line in head.split(b"\r\n")
             if line.lower().startswith(b"content-length:")
         ]
-        length, digest = int(lengths[0]), stated
+        length = int(lengths[0]) if lengths and lengths[0].isdigit() else None
+        digest, payload = stated, None
+    else:
+        length, digest = len(payload), hashlib.sha1(payload).hexdigest()
+        if stated is not None and digest != stated:
+            problem = f"the payload's digest is {digest}, not {stated}"
     return (
         _page_id(fields.get("warc-record-id")),
         fields.get("warc-target-uri"),
@@ -258,7 +311,9 @@ def _row(fields: dict[str, str], block: bytes, with_payload: bool) -> tuple:
         _page_id(fields.get("warc-refers-to")),
         length,
         digest,
-        payload if with_payload and kind == "response" else None,
+        payload if with_payload else None,
+        path,
+        problem,
     )
 
 
@@ -268,22 +323,26 @@ def read_archives(
     split_bytes: int = SPLIT_BYTES,
     with_payload: bool = True,
 ) -> DataFrame:
-    """One row per record of the listed archives (path, bytes)."""
+    """One row per record of the listed archives (path, bytes), and one per stretch of bytes in none."""
     splits = archives.where("bytes > 0").select(
         "path",
         F.col("bytes").alias("size"),
         F.explode(F.expr(f"sequence(0L, bytes - 1, {int(split_bytes)}L)")).alias("start"),
     )
     count = max(1, splits.count())
+    lost = [None] * (len(RECORD) - 2)
 
     def read(batches):
         for batch in batches:
             for path, size, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 rows, held = [], 0
                 with open_there(path) as file:
-                    for fields, block in records_in(file, size, start, start + split_bytes):
-                        rows.append(_row(fields, block, with_payload))
-                        held += len(rows[-1][-1] or b"") + 200
+                    for found in scan(file, size, start, start + split_bytes):
+                        if isinstance(found, str):
+                            rows.append((*lost, path, found))
+                        else:
+                            rows.append(_row(*found, with_payload, path))
+                        held += len(rows[-1][-3] or b"") + 200
                         if held > 8 << 20:
                             yield batch_of(RECORD, list(zip(*rows, strict=True)))
                             rows, held = [], 0
@@ -291,10 +350,14 @@ def read_archives(
                     yield batch_of(RECORD, list(zip(*rows, strict=True)))
 
     # The rows are a few bytes each, but each stands for a range: one per task.
-    return splits.repartition(min(count, 20_000)).mapInArrow(read, RECORD_DDL)
+    return splits.repartition(count).mapInArrow(read, RECORD_DDL)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Write every page to archives, read them back, and return what the records say."""
+    """Write every page to archives, read them back, and return what the records say; an error if
+    any of them cannot be read."""
     archives = write_archives(pages, new_folder(spark, "warc"))
-    return read_archives(spark, archives, with_payload=False).drop("payload")
+    found = read_archives(spark, archives, with_payload=False)
+    told = F.concat("path", F.lit(": "), "problem")
+    sound = F.when(F.col("problem").isNull(), F.col("payload_bytes")).otherwise(F.raise_error(told).cast("long"))
+    return found.withColumn("payload_bytes", sound).drop("payload", "path", "problem")

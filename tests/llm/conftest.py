@@ -33,7 +33,7 @@ def rows():
 def docs(spark, rows):
     """The rows with columns whose names the operators use themselves."""
     frame = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], DOCS)
-    clash = ["kept", "digest", "text_key", "label", "node", "row", "file", "_row", "score", "shard", "_host", "found"]
+    clash = ["kept", "digest", "text_key", "label", "node", "row", "file", "_row", "score", "shard", "_host", "found", "a.b", "_doc", "_key", "_place", "_metadata", "_null", "text_"]
     return frame.select("*", *(F.lit(f"x{i}").alias(name) for i, name in enumerate(clash))).repartition(3)
 
 

@@ -52,6 +52,18 @@ def test_bad_hosts_lose_good_documents(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted(d for d, r in found.items() if r.kept)
 
 
+def test_documents_without_a_host_share_none(spark):
+    """Most rows without a host fail a rule; the others stay, and no host's rate hears of them."""
+    good, bad = prose(1, 60), "few words"
+    rows = [(i, good + str(i) if i % 4 == 0 else bad, ["", None][i % 3 % 2]) for i in range(400)]
+    rows += [(1000 + i, good if i % 10 else bad, "fine") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+    found = quality_rules.assess(frame.withColumnRenamed("a.b", "source")).collect()
+    assert all(r.kept != r.base_failed for r in found) and sum(r.kept for r in found) == 154
+    left = quality_rules.keep_good(frame, "a.b")
+    assert left.columns == frame.columns and left.count() == 154
+
+
 def test_prior_fits_moments():
     a, b = quality_rules.beta_prior(2, 200, 100, 90 * 90 / 100 + 10 * 10 / 100)
     assert a == pytest.approx(b) and 1 <= a + b < 10
@@ -93,6 +105,18 @@ def test_weighted_shards_and_growth(spark):
     assert abs(sum(r["count"] for r in found if r.b == 4) / 40_000 - 0.2) < 0.01
 
 
+def test_records_in_shards(spark, docs, rows, tmp_path):
+    placed = sharding.records(docs, [1.0] * 5)
+    narrow = sharding.shard(docs, [1.0] * 5)
+    told = ["shard", "slot", "size", "text_crc32"]
+    assert unordered(placed.select("record.doc_id", *told).collect()) == unordered(narrow.select("doc_id", *told).collect())
+    kept = docs.drop("shard")
+    sharding.write_shards(sharding.records(kept, [1.0] * 5), str(tmp_path / "shards"))
+    read = spark.read.parquet(str(tmp_path / "shards"))
+    assert unordered(read.select(*(F.col(f"`{c}`") for c in kept.columns)).collect()) == unordered(kept.collect())
+    assert read.select("shard", "slot").distinct().count() == len(rows)
+
+
 def test_hot_key_is_numbered_whole(spark):
     frame = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("t").alias("text"))
     found = sharding.shard(frame, [1.0] * 4).groupBy("shard").agg(F.countDistinct("slot").alias("d"), F.count("*").alias("n"), F.max("slot").alias("m")).collect()
