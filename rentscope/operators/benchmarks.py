@@ -111,6 +111,12 @@ def verified_benchmarks(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("manual_verified_price_ntd").isNotNull()).select(*BENCHMARK)
 
 
+def verified_prices(rows: DataFrame) -> DataFrame:
+    """Every different verified price with its number of records, as a table of its own."""
+    price = F.col("manual_verified_price_ntd")
+    return rows.filter(price.isNotNull()).groupBy(price.alias("price_ntd")).agg(F.count(F.lit(1)).alias("records"))
+
+
 def _is_incumbent(own_name: str) -> Column:
     return ~text.contains_ignoring_case(F.col("product"), own_name)
 
@@ -133,8 +139,8 @@ def _first_values(counts: DataFrame, kind: str, n: int, to: str, name: str) -> D
 def _counts(rows: DataFrame, wanted: Column | None = None) -> DataFrame:
     """The tally of the wanted records, stored once; all figures of a summary come from it.
 
-    ``products`` and ``verified_benchmarks`` grow with the records, so they are tables at
-    every size; the tally has their lengths.
+    ``products``, ``verified_benchmarks`` and ``verified_prices`` grow with the records, so they are
+    tables at every size; the tally has their lengths.
     """
     wanted = F.lit(True) if wanted is None else wanted
     price = F.col("manual_verified_price_ntd")
@@ -167,9 +173,8 @@ def _sizes() -> list[Column]:
 
 
 def summary(rows: DataFrame) -> DataFrame:
-    """Record count and observed prices and percentages, in one row."""
+    """Record count, observed prices and percentages, in one row."""
     counts = _counts(rows)
-    verified = counts.filter("kind = 'verified'").select(F.col("key").cast("int").alias("v"))
     return one_row(
         counts.agg(
             F.lit(dates.utc_now()).alias("generated_at"),
@@ -177,9 +182,9 @@ def summary(rows: DataFrame) -> DataFrame:
             ranking.counted("record", "all").alias("pages_checked"),
             F.lit(vocab.PRICE_NOTE).alias("note"),
             *_sizes(),
+            F.count_if(F.col("kind") == "verified").alias("verified_price_count"),
         ),
         _first_values(counts, "price", 50, "int", "price_values_observed_ntd"),
-        verified.agg(F.sort_array(F.collect_list("v")).alias("manual_verified_prices_ntd")),
         _first_values(counts, "percent", 30, "double", "percent_values_observed"),
     )
 

@@ -37,7 +37,7 @@ def interest_section(summary: DataFrame, source_file: str = "") -> DataFrame:
 
 def review_section(summary: DataFrame, source_file: str = "") -> DataFrame:
     return _section(
-        summary.drop("apps_reviewed", "generated_at"), "app_review_summary", source_file, top_pain_keywords=10
+        summary.drop("app_count", "generated_at"), "app_review_summary", source_file, top_pain_keywords=10
     )
 
 

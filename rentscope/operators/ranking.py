@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from rentscope.session import materialise
+
 SALTS = 64
 
 
@@ -84,6 +86,28 @@ def ranked(counts: DataFrame, unranked: Sequence[str] = ()) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(by))
 
 
+def leaders(counts: DataFrame, k: int) -> DataFrame:
+    """The k top keys of each kind, ranked.
+
+    The limit stands on the rank itself, so every task drops what is beyond it before the shuffle.
+    """
+    return ranked(counts).filter(F.col("rank") <= k)
+
+
+def numbered(counts: DataFrame) -> DataFrame:
+    """rank, key and count of the keys of one kind, in rank's order, by ranges: no task holds all keys."""
+    order = [F.desc("count"), F.col("first").asc_nulls_last(), F.col("key")]
+    dealt = materialise(counts.repartitionByRange(*order), "ranked-ranges")
+    dealt = dealt.withColumn("_file", F.col("_metadata.file_name"))
+    # One row a range; names follow the ranges.
+    sizes = dealt.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
+    based = sizes.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    place = F.row_number().over(W.partitionBy("_file").orderBy(*order))
+    placed = dealt.withColumn("_place", place).join(materialise(based, "ranked-bases"), "_file")
+    return placed.select((F.col("_base") + F.col("_place")).alias("rank"), "key", "count")
+
+
 def top(kind: str, k: int | None = None) -> Column:
     """Aggregate over ``ranked``: the k top keys of a kind as (key, count) pairs."""
     wanted = F.col("kind") == kind
@@ -103,4 +127,4 @@ def counted(kind: str, key: str | None = None) -> Column:
 
 def top_keys(counts: DataFrame, k: int) -> DataFrame:
     """The k top keys of each kind as rows."""
-    return ranked(counts).filter(F.col("rank") <= k).select("kind", "rank", "key", "count")
+    return leaders(counts, k).select("kind", "rank", "key", "count")

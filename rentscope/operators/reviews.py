@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from rentscope import vocab
 from rentscope.functions import dates, text
 from rentscope.operators import ranking
+from rentscope.operators.metrics import one_row
+from rentscope.session import materialise
+
 
 def to_signals(
     reviews: DataFrame,
@@ -33,8 +36,13 @@ def since(reviews: DataFrame, first_day: dt.date) -> DataFrame:
     return reviews.filter(dates.review_date(F.col("updated")) >= F.lit(first_day))
 
 
+def apps(reviews: DataFrame, order: str | None = None) -> DataFrame:
+    """Reviews per app, as a table: rank, key and count. There may be any number of apps."""
+    return ranking.numbered(ranking.tally(reviews, {"app": F.array("app_name")}, order))
+
+
 def summary(reviews: DataFrame, first_day: dt.date, order: str | None = None) -> DataFrame:
-    """Review count, reviews per app, mean rating and top complaints, in one row."""
+    """Review count, number of apps, mean rating and top complaints, in one row."""
     counts = ranking.tally(
         reviews,
         {
@@ -45,15 +53,17 @@ def summary(reviews: DataFrame, first_day: dt.date, order: str | None = None) ->
         },
         order,
     )
+    counts = materialise(counts, "review-counts")
     stars = F.when(F.col("kind") == "rating", F.col("key").try_cast("bigint"))
     rated = F.sum(F.when(F.col("kind") == "rating", F.col("count")))
-    return ranking.ranked(counts, unranked=["rating"]).agg(
+    figures = counts.agg(
         F.lit(dates.utc_now()).alias("generated_at"),
         F.lit(vocab.REVIEW_SOURCE).alias("source"),
         F.lit(first_day.isoformat()).alias("since_date"),
         ranking.counted("review", "all").alias("reviews_collected"),
-        ranking.top("app").alias("apps_reviewed"),
+        F.count_if(F.col("kind") == "app").alias("app_count"),
         F.bround(F.sum(stars * F.col("count")) / rated, 2).alias("average_rating"),
-        ranking.top("pain", 10).alias("top_pain_keywords"),
         F.lit(vocab.REVIEW_NOTE).alias("note"),
     )
+    leading = ranking.leaders(counts.filter("kind = 'pain'"), 10)
+    return one_row(figures, leading.agg(ranking.top("pain").alias("top_pain_keywords")))

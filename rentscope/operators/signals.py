@@ -14,13 +14,14 @@ from rentscope.functions import dates, money, text
 from rentscope.functions.numbers import ratio
 from rentscope.operators import quantiles, ranking
 from rentscope.operators.metrics import one_row
+from rentscope.session import materialise
 
 
 def union_boards(boards: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), boards)
 
 
-def recent(date: Column, since: dt.datetime | None) -> Column:
+def recent(date: Column, since: dt.datetime | Column | None) -> Column:
     """Whether a post's date can be read and is not before the cutoff; true without one."""
     if since is None:
         return F.lit(True)
@@ -123,24 +124,43 @@ def report_summary(signals: DataFrame, order: str | None = None) -> DataFrame:
     Tags come from short dictionaries and prices from a fixed range, so everything
     after the count works on a table of bounded size.
     """
-    counts = ranking.ranked(_counts(signals, order), unranked=["price"])
+    counts = materialise(_counts(signals, order), "signal-counts")
     threads = ranking.counted("thread", "all")
     priced = (F.col("kind") == "price") & F.col("value").between(*vocab.RENT_RANGE)
-    return counts.agg(
+    figures = counts.agg(
         threads.alias("threads_analyzed"),
         ratio(ranking.counted("thread", "asks"), threads).alias("pricing_question_ratio"),
-        ranking.top("keyword", 10).alias("top_keywords"),
-        ranking.top("district", 10).alias("top_districts"),
         quantiles.of_counts("value", "count", 0.5, priced)
         .cast("bigint")
         .alias("median_extracted_rent_ntd"),
         F.coalesce(F.sum(F.when(priced, F.col("count"))), F.lit(0)).alias("rent_mentions_observed"),
     )
+    found = one_row(figures, _top_lists(counts, 10))
+    return found.select(
+        "threads_analyzed", "pricing_question_ratio", "top_keywords", "top_districts",
+        "median_extracted_rent_ntd", "rent_mentions_observed",
+    )
+
+
+def _top_lists(counts: DataFrame, k: int) -> DataFrame:
+    """The k top keywords and districts, in one row."""
+    leading = ranking.leaders(counts.filter(F.col("kind").isin("keyword", "district")), k)
+    return leading.agg(
+        ranking.top("keyword").alias("top_keywords"), ranking.top("district").alias("top_districts")
+    )
+
+
+def boards(signals: DataFrame, order: str | None = None) -> DataFrame:
+    """Signals per board, as a table: rank, key and count. There may be any number of boards."""
+    return ranking.numbered(ranking.tally(signals, {"board": F.array(F.nullif("board", F.lit("")))}, order))
 
 
 def overview(signals: DataFrame, order: str) -> DataFrame:
-    """Forum figures with tool-seeking share, boards and the first five threads."""
-    counts = ranking.ranked(_counts(signals, order), unranked=["price"])
+    """Forum figures with tool-seeking share, the number of boards and the first five threads.
+
+    The boards themselves are a table (``boards``).
+    """
+    counts = materialise(_counts(signals, order), "signal-counts")
     threads = ranking.counted("thread", "all")
     zero = F.lit(0.0)
     figures = counts.agg(
@@ -151,14 +171,12 @@ def overview(signals: DataFrame, order: str) -> DataFrame:
         F.coalesce(ratio(ranking.counted("thread", "tool"), threads), zero).alias(
             "tool_seeking_ratio"
         ),
-        ranking.top("keyword", 8).alias("top_keywords"),
-        ranking.top("district", 8).alias("top_districts"),
-        ranking.top("board").alias("boards"),
+        F.count_if(F.col("kind") == "board").alias("board_count"),
         quantiles.of_counts("value", "count", 0.5, F.col("kind") == "price").alias(
             "median_extracted_rent_ntd"
         ),
     )
-    return one_row(figures, examples(signals, order))
+    return one_row(figures, _top_lists(counts, 8), examples(signals, order))
 
 
 def examples(signals: DataFrame, order: str, n: int = 5) -> DataFrame:

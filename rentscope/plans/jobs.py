@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from rentscope import schemas, vocab
 from rentscope.functions import dates
-from rentscope.operators import benchmarks, cleaning, evidence, interest, metrics, segments
+from rentscope.operators import benchmarks, cleaning, evidence, interest, metrics, segments, value_counts
 from rentscope.operators import reviews as review_ops
 from rentscope.operators import signals as signal_ops
 from rentscope.operators.once import once
 from rentscope.session import materialise
-from rentscope.sinks import files, warehouse
+from rentscope.sinks import files, versions, warehouse
 from rentscope.sources import feeds
 
 
@@ -81,15 +81,39 @@ def run_metrics(
     }
 
 
+def refresh_metrics(spark: SparkSession, table: str, state: str, root: str, area_ping: float = 10.0) -> dict:
+    """Metrics and price bands of a stored transaction table, from the loads since the last refresh.
+
+    ``state`` holds the counts of values between refreshes. Clusters need all rows; ``run_metrics`` has them.
+    """
+    found = materialise(value_counts.metrics(value_counts.refresh(spark, table, state)), "metrics")
+    counts = warehouse.publish(
+        {"district_metrics": found, "pricing_recommendations": metrics.recommendations(found, area_ping)}, root
+    )
+    return {
+        "transactions": versions.rows_of(spark, table),
+        "district_metrics": counts["district_metrics"],
+        "recommendations": counts["pricing_recommendations"],
+        "updated_at": dt.datetime.now().isoformat(),
+    }
+
+
 def forum_signals(
     boards: Sequence[DataFrame],
     per_board: int | None = None,
     local_only: bool = True,
     since: dt.datetime | None = None,
     output: str | None = None,
+    days: int | None = None,
+    as_of: dt.datetime | None = None,
     **dictionaries,
 ) -> DataFrame:
-    """Stored articles of several boards to kept signals, with raw threads and a CSV."""
+    """Stored articles of several boards to kept signals, with raw threads and a CSV.
+
+    Posts are kept from ``since`` on, or for so many ``days`` before ``as_of`` (default: now), or all of them.
+    """
+    if since is None:
+        since = dates.cutoff(days=days, as_of=as_of)
     articles = signal_ops.newest_articles(signal_ops.union_boards(boards), per_board, since)
     if output:
         articles = materialise(articles, "articles")
@@ -106,15 +130,26 @@ def forum_signals(
 
 
 def review_signals(
-    pages: DataFrame, first_day: dt.date, output: str | None = None, **how
+    pages: DataFrame,
+    first_day: dt.date | None = None,
+    output: str | None = None,
+    days: int = vocab.REVIEW_DAYS,
+    as_of: dt.datetime | None = None,
+    **how,
 ) -> tuple[DataFrame, DataFrame]:
-    """Review-feed pages (with app_name, app_id, country) to signals and their summary."""
+    """Review-feed pages (with app_name, app_id, country) to signals and their summary.
+
+    Reviews are kept from the first day on, or for so many ``days`` before the day of ``as_of`` (default: now).
+    """
+    as_of = as_of or dt.datetime.now()
+    first_day = first_day or as_of.date() - dt.timedelta(days=days)
     found = review_ops.since(review_ops.to_signals(feeds.review_entries(pages), **how), first_day)
     if output:
         found = materialise(found, "reviews")
     summary = review_ops.summary(found, first_day)
     if output:
         files.write_result(summary, found, f"{output}/json", "reviews")
+        files.write_rows(review_ops.apps(found), f"{output}/json/apps")
         files.write_csv(found, f"{output}/csv")
     return found, summary
 
@@ -131,6 +166,7 @@ def price_benchmarks(
     if output:
         files.write_result(summary, found, f"{output}/json")
         files.write_rows(benchmarks.verified_benchmarks(found), f"{output}/json/benchmarks")
+        files.write_rows(benchmarks.verified_prices(found), f"{output}/json/verified_prices")
         files.write_csv(found, f"{output}/csv")
     return found, summary
 
@@ -141,10 +177,16 @@ def search_interest(
     timeframe: str = "today 24-m",
     geo: str = "TW",
     output: str | None = None,
+    as_of: dt.datetime | None = None,
+    collected_at: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Search-interest payloads (with keyword) to the weekly table and its summary."""
+    """Search-interest payloads (with keyword) to the weekly table and its summary.
+
+    A relative timeframe ends on the day of ``as_of`` (default: now), in both tables alike.
+    """
     spark = payloads.sparkSession
-    series = interest.combine(spark, [feeds.interest_points(payloads)], timeframe, geo)
+    timeframe = dates.timeframe(timeframe, as_of.date() if as_of else None)
+    series = interest.combine(spark, [feeds.interest_points(payloads)], timeframe, geo, collected_at)
     if output:
         series = materialise(series, "interest")
     note = interest.failure_note(series, keywords)

@@ -69,6 +69,20 @@ def read(spark: SparkSession, path: str, version: int | None = None) -> DataFram
     return spark.read.parquet(*(f"{path}/loads/{name}" for name in names))
 
 
+def added(spark: SparkSession, path: str, since: int, version: int) -> DataFrame | None:
+    """The rows that versions after ``since`` added, up to a version; None if one of them replaced the table."""
+    told = commits(spark, path).where((F.col("version") > since) & (F.col("version") <= version))
+    loads = told.select("load", "replaces").collect()
+    if not loads or any(row.replaces for row in loads):
+        return None
+    return spark.read.parquet(*(f"{path}/loads/{row.load}" for row in loads))
+
+
+def rows_of(spark: SparkSession, path: str, version: int | None = None) -> int:
+    """How many rows a version has, by its commits."""
+    return _live(spark, path, version).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
 def parts(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The manifest of a version: load, file, bytes and rows of every part file."""
     live = _live(spark, path, version).select("load")

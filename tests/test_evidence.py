@@ -56,7 +56,8 @@ def test_review_job(spark, tmp_path):
     assert rows["租金太貴"].pain_keywords == ["pricing"]
     row = summary.first()
     assert row.reviews_collected == 3 and row.average_rating == 4.0
-    assert [tuple(x) for x in row.apps_reviewed] == [("App", 3)]
+    assert row.app_count == 1 and [tuple(x) for x in reviews.apps(found).collect()] == [(1, "App", 3)]
+    assert spark.read.json(f"{tmp_path}/json/apps").count() == 1
     assert [tuple(x) for x in row.top_pain_keywords] == [("contact", 1), ("pricing", 1)]
     stored = spark.read.schema(schemas.REVIEWS).json(f"{tmp_path}/json/reviews")
     assert stored.count() == 3 and stored.filter("rating is null").count() == 1
@@ -107,7 +108,9 @@ def test_price_records(spark, tmp_path):
     assert rows["Stopped"].notes == "old Crawl failed: timed out"
     assert rows["Stopped"].pricing_text_snippet == ""
     row = summary.first()
-    assert row.pages_checked == 5 and row.manual_verified_prices_ntd == [400, 1500, 4990]
+    assert row.pages_checked == 5 and row.verified_price_count == 3
+    verified = spark.read.json(f"{tmp_path}/json/verified_prices").collect()
+    assert sorted((r.price_ntd, r.records) for r in verified) == [(400, 1), (1500, 1), (4990, 1)]
     assert row.price_values_observed_ntd == [85, 400, 1200, 1500, 4990, 120000]
     assert row.percent_values_observed == [5.0] and row.product_count == 5
     assert row.benchmark_count == 3

@@ -208,3 +208,5 @@ def test_cutoff_columns(spark):
         dates.cutoff(days=730).alias("back"),
     ).first()
     assert row.day == dt.datetime(2024, 1, 2) and row.now - row.back == dt.timedelta(days=730)
+    as_of = dt.datetime(2026, 3, 1, 12, 30)
+    assert spark.range(1).select(dates.cutoff(days=1, as_of=as_of)).first()[0] == dt.datetime(2026, 2, 28, 12, 30)

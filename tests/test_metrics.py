@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rentscope import schemas
-from rentscope.operators import metrics, quotes, segments
+from rentscope.operators import metrics, quotes, segments, value_counts
+from rentscope.sinks import versions, warehouse
 
 # Stored segments and the bands published for ten ping.
 GOLDEN = [
@@ -143,3 +144,55 @@ def test_labels(spark):
     )
     got = [r.segment_label for r in segments.label(many).orderBy("cluster_id").collect()]
     assert got == ["budget", "value", "premium", "luxury", "luxury", "luxury"]
+
+
+def test_metrics_after_appends_equal_the_full_run(spark, tmp_path):
+    """Counts are refreshed from new loads alone; a replacement starts anew; a repeated refresh adds nothing."""
+    table, state = str(tmp_path / "table"), str(tmp_path / "counts")
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("d"), (F.col("id") % 7).cast("string"))).alias("district"),
+        F.concat(F.lit("t"), (F.col("id") % 2).cast("string")).alias("building_type"),
+        (F.col("id") % 11 + 1.0).alias("area_ping"),
+        (F.col("id") * 7919 % 4001 + 5000).alias("rent_ntd"),
+        (F.col("id") * 104729 % 997 / 3.0).alias("rent_per_ping"),
+        F.lit("2026-04-27").cast("date").alias("transaction_date"),
+    )
+
+    def same(part):
+        names = ["district", "building_type", "sample_size", *value_counts.WANTED]
+        found = value_counts.metrics(value_counts.refresh(spark, table, state)).select(*names)
+        wanted = metrics.district_metrics(part).select(*names)
+        got, want = (sorted(f.collect()) for f in (found, wanted))
+        assert [r[:3] for r in got] == [r[:3] for r in want]
+        for a, b in zip(got, want):
+            assert list(a[3:]) == pytest.approx(list(b[3:]))
+
+    warehouse.save_transactions(rows.where("rent_ntd < 7000"), table)
+    same(rows.where("rent_ntd < 7000"))
+    for low, high in ((7000, 8000), (8000, 9999)):
+        before = versions.newest(spark, table)
+        warehouse.save_transactions(rows.where(f"rent_ntd >= {low} and rent_ntd < {high}"), table, replace=False)
+        new = versions.added(spark, table, before, before + 1)
+        assert new.count() == rows.where(f"rent_ntd >= {low} and rent_ntd < {high}").count()
+        same(rows.where(f"rent_ntd < {high}"))
+        same(rows.where(f"rent_ntd < {high}"))
+    newest = versions.newest(spark, state)
+    value_counts.refresh(spark, table, state)
+    assert versions.newest(spark, state) == newest == 3
+    # Two loads since the last refresh, and a replacement.
+    warehouse.save_transactions(rows.limit(100), table)
+    warehouse.save_transactions(rows.limit(10), table, replace=False)
+    assert versions.added(spark, table, 3, 5) is None
+    assert value_counts.refresh(spark, table, state).agg(F.sum("n")).first()[0] == 220
+
+
+def test_values_without_numbers_keep_their_segment(spark):
+    rows = spark.createDataFrame(
+        [("a", "x", None, 5), ("a", "x", None, 7), ("b", "x", 1.0, None), (None, "x", 1.0, 1), ("c", "y", float("inf"), 2)],
+        "district string, building_type string, rent_per_ping double, rent_ntd long",
+    )
+    found = {r.district: r for r in value_counts.metrics(value_counts.tally(rows)).collect()}
+    assert set(found) == {"a", "b", "c"} and found["a"].sample_size == 0
+    assert found["a"].median_rent_per_ping is None and found["a"].median_rent_ntd == 6.0
+    assert found["b"].median_rent_ntd is None and found["c"].p75_rent_per_ping == float("inf")
+    assert value_counts.metrics(value_counts.tally(rows.limit(0))).count() == 0

@@ -102,7 +102,8 @@ def test_summaries(spark):
     assert row.median_extracted_rent_ntd == 12000 and row.rent_mentions_observed == 3
     full = signals.overview(df, "n").first()
     assert full.tool_seeking_ratio == 0.333 and full.median_extracted_rent_ntd == 12000.5
-    assert [tuple(x) for x in full.boards] == [("b", 1), ("a", 1)]
+    assert full.board_count == 2
+    assert sorted(tuple(x) for x in signals.boards(df, "n").collect()) == [(1, "b", 1), (2, "a", 1)]
     assert [x.title for x in full.example_titles] == ["title 0", "title 1", "title 2"]
 
 
@@ -121,7 +122,21 @@ def test_empty_summaries(spark):
     assert row.top_keywords == [] and row.median_extracted_rent_ntd is None
     full = signals.overview(empty, "n").first()
     assert full.pricing_question_ratio == 0.0 and full.tool_seeking_ratio == 0.0
-    assert full.boards == [] and full.example_titles == []
+    assert full.board_count == 0 and full.example_titles == [] and signals.boards(empty, "n").count() == 0
+
+
+def test_many_boards_are_a_table(spark):
+    """200 000 boards, one of them with a third of the signals."""
+    board = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("b"), (F.col("id") % 299_999).cast("string")))
+    df = spark.range(450_000).select(F.col("id").cast("int").alias("n"), board.alias("board"))
+    found = signals.boards(df, "n")
+    told = found.agg(F.count("*").alias("n"), F.sum("count").alias("rows"), F.countDistinct("rank").alias("ranks"), F.max("rank").alias("last")).first()
+    different = df.select("board").distinct().count()
+    assert different > 199_000 and (told.n, told.rows, told.ranks, told.last) == (different, 450_000, different, different)
+    assert [tuple(r) for r in found.where("rank = 1").collect()] == [(1, "hot", 150_000)]
+    first = df.where("board <> 'hot'").groupBy("board").agg(F.count("*").alias("c"), F.min("n").alias("f"))
+    wanted = [r.board for r in first.orderBy(F.desc("c"), "f").limit(50).collect()]
+    assert [r.key for r in found.where("rank between 2 and 51").orderBy("rank").collect()] == wanted
 
 
 def test_tally_counts_across_a_hot_key(spark):

@@ -815,5 +815,9 @@ ORACLES |= {
                (select count(*) from ({ORACLES['interest_series']})) as csv_rows
         from ({ORACLES['interest_summary']})""",
     "stored_segments": ORACLES["market_segments"],
+    "appended_metrics": ORACLES["district_metrics"],
+    "recent_signals": ORACLES["kept_signals"],
+    "recent_reviews": ORACLES["review_signals"],
+    "relative_interest": ORACLES["interest_series"].replace(TIMEFRAME, "2025-06-14 2026-06-14"),
     "report_head": f"select * from ({ORACLES['report_districts']}) where position < 3",
 }

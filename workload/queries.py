@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentscope import schemas
+from rentscope import schemas, vocab
 from rentscope.functions import dates, money, text
 from rentscope.functions.numbers import blank_missing
 from rentscope.operators import (
@@ -30,6 +30,7 @@ FIRST_DAY = dt.date(2024, 4, 10)
 CHECKED_AT = "2026-06-14T00:00:00+00:00"
 OWN_NAME = "rentpilot"
 TIMEFRAME = "2024-01-01 2024-01-31"
+AS_OF = dt.datetime(2026, 6, 14, 8, 30)
 GEO = "TW"
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 BUILDING_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -123,7 +124,7 @@ def price_rows(spark: SparkSession, sf: str) -> DataFrame:
 def series(spark: SparkSession, sf: str) -> DataFrame:
     points = feeds.interest_points(tables.trend_payloads(spark, sf))
     by_type = [points.filter(F.col("keyword") == k) for k in EVENT_TYPES[:2]]
-    rest = points.filter(F.col("keyword").isin(EVENT_TYPES[2:]))
+    rest = points.filter(~F.col("keyword").isin(EVENT_TYPES[:2]))
     return interest.combine(spark, [*by_type, rest], TIMEFRAME, GEO, CHECKED_AT)
 
 
@@ -400,6 +401,13 @@ def kept_signals(spark, sf):
     return _signal_view(jobs.forum_signals(boards, per_board=10, local_only=True, since=SINCE))
 
 
+def recent_signals(spark, sf):
+    """Signals of the two years before a given time."""
+    rows = articles(spark, sf)
+    as_of = SINCE + dt.timedelta(days=vocab.POST_DAYS)
+    return _signal_view(jobs.forum_signals([rows], per_board=10, days=vocab.POST_DAYS, as_of=as_of))
+
+
 def top_tags(spark, sf):
     counts = ranking.tally(
         post_signals(spark, sf),
@@ -416,8 +424,17 @@ def forum_summary(spark, sf):
     )
 
 
+def listed(ranks: DataFrame, name: str) -> DataFrame:
+    """A table of ranks as one text, to compare it whole."""
+    rows = F.array_sort(F.collect_list(F.struct("rank", "key", "count")))
+    return ranks.agg(pairs(rows).alias(name))
+
+
 def forum_overview(spark, sf):
-    found = signals.overview(post_signals(spark, sf), "doc_id")
+    rows = materialise(post_signals(spark, sf), "signals")
+    found = metrics.one_row(
+        signals.overview(rows, "doc_id").drop("board_count"), listed(signals.boards(rows, "doc_id"), "boards")
+    )
     examples = F.transform(
         "example_titles",
         lambda r: F.concat_ws(
@@ -429,7 +446,6 @@ def forum_overview(spark, sf):
         {
             "top_keywords": pairs("top_keywords"),
             "top_districts": pairs("top_districts"),
-            "boards": pairs("boards"),
             "example_titles": F.array_join(examples, ";"),
         }
     )
@@ -441,10 +457,19 @@ def review_signals(spark, sf):
     return review_rows(spark, sf).withColumn("pain_keywords", joined("pain_keywords"))
 
 
+def recent_reviews(spark, sf):
+    """Reviews of the two years before a given time."""
+    pages = feeds.with_app(tables.review_pages(spark, sf), tables.apps(spark, sf))
+    as_of = dt.datetime.combine(FIRST_DAY, dt.time(13, 30)) + dt.timedelta(days=vocab.REVIEW_DAYS)
+    found, _ = jobs.review_signals(pages, as_of=as_of, collected_at=CHECKED_AT)
+    return found.withColumn("pain_keywords", joined("pain_keywords"))
+
+
 def review_summary(spark, sf):
-    found = reviews.summary(review_rows(spark, sf), FIRST_DAY)
-    return found.drop("generated_at", "note").withColumns(
-        {"apps_reviewed": pairs("apps_reviewed"), "top_pain_keywords": pairs("top_pain_keywords")}
+    rows = materialise(review_rows(spark, sf), "reviews")
+    found = reviews.summary(rows, FIRST_DAY).drop("generated_at", "note", "app_count")
+    return metrics.one_row(found, listed(reviews.apps(rows), "apps_reviewed")).withColumn(
+        "top_pain_keywords", pairs("top_pain_keywords")
     )
 
 
@@ -514,11 +539,12 @@ def price_products(spark, sf):
 
 def price_summary(spark, sf):
     rows = materialise(price_rows(spark, sf), "price-records")
-    return benchmarks.summary(rows).select(
+    verified = benchmarks.verified_prices(rows).agg(F.sort_array(F.collect_list("price_ntd")).alias("verified"))
+    return metrics.one_row(benchmarks.summary(rows), verified).select(
         "pages_checked", F.col("product_count").cast("int").alias("products"),
         F.col("benchmark_count").cast("int").alias("benchmarks"),
         joined("price_values_observed_ntd").alias("prices"),
-        joined("manual_verified_prices_ntd").alias("verified_prices"),
+        joined("verified").alias("verified_prices"),
         decimals("percent_values_observed").alias("percents"),
     )
 
@@ -581,6 +607,14 @@ def interest_series(spark, sf):
     return series(spark, sf).withColumn("week", day("week"))
 
 
+def relative_interest(spark, sf):
+    """The weekly table of a window that ends on the day of a given time."""
+    found, _ = jobs.search_interest(
+        tables.trend_payloads(spark, sf), EVENT_TYPES, "today 12-m", GEO, as_of=AS_OF, collected_at=CHECKED_AT
+    )
+    return found.withColumn("week", day("week"))
+
+
 def interest_stats(spark, sf):
     return interest.stats(series(spark, sf))
 
@@ -674,6 +708,18 @@ def stored_transactions(spark, sf):
     )
 
 
+def appended_metrics(spark, sf):
+    """Metrics refreshed after each of three loads of the stored table; each refresh reads its load alone."""
+    root = scratch_path(spark, "refreshed")
+    rows = plausible(spark, sf).drop("row_key")
+    third = F.pmod(F.xxhash64("transaction_date", "rent_ntd"), F.lit(3))
+    for k in range(3):
+        warehouse.save_transactions(rows.filter(third == k), f"{root}/table", replace=k == 0, key=f"load-{k}")
+        jobs.refresh_metrics(spark, f"{root}/table", f"{root}/counts", f"{root}/published")
+    found = warehouse.current(spark, f"{root}/published", "district_metrics")
+    return rounded(found.drop("updated_at"), *METRIC_FIGURES)
+
+
 def metrics_pipeline(spark, sf):
     """Stored transactions to metrics, bands and clusters, published together."""
     root = scratch_path(spark, "warehouse")
@@ -789,6 +835,6 @@ QUERIES = {
         "index_pages post_pages interest_series interest_stats interest_summary "
         "evidence_report report_districts loaded_open_data price_source_files stored_transactions metrics_pipeline snapshots "
         "signal_files streamed_transactions review_files price_files interest_files "
-        "stored_segments report_head"
+        "stored_segments report_head appended_metrics recent_signals recent_reviews relative_interest"
     ).split()
 }
