@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentscope.llm.common import WordHashes, batch_of, draws, keyed_texts, mix, signed
+from rentscope.llm.common import WordHashes, batch_of, draws, keyed_texts, mix, named, signed
 from rentscope.llm.subwords import slices
 from rentscope.session import materialise
 
@@ -186,7 +186,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
     Bit i of the mask stands for window i of the extent. A text is listed once even if its
     row repeats.
     """
-    seeds = _seeds(docs, window, seed)
+    # Read twice, once to count anchors and once to join the counts back: texts are hashed once for both.
+    seeds = materialise(_seeds(docs, window, seed), "repeat-all-seeds")
     often = seeds.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
     # Counts are stored before they are joined back, so that a hot anchor can be split.
     found = materialise(seeds.join(materialise(often, "repeat-anchors"), "anchor"), "repeat-seeds")
@@ -230,8 +231,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
 def _cleaned(docs: DataFrame, build, ddl, window: int, seed: int) -> DataFrame:
     """build(rows as Arrow, words per row, removed per row) for slices of the whole table.
 
-    ``removed`` flags a row's words, or is None if nothing is removed. The rows have the
-    columns of the table under ``_row``, besides doc_id and text (null: empty).
+    ``removed`` flags a row's words, or is None if nothing is removed. The rows have the other
+    columns of the table and whether the text is null under ``_row``, besides doc_id and text (null: empty).
     """
     lists = repeats(docs, window, seed).groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("extent", "mask")).alias("found")
@@ -261,7 +262,9 @@ def _cleaned(docs: DataFrame, build, ddl, window: int, seed: int) -> DataFrame:
                 ]
                 yield build(part, words, removed)
 
-    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    # The text goes beside the row, not in it as well.
+    rest = [named(c) for c in docs.columns if c != "text"]
+    whole = F.struct(*rest, F.col("text").isNull().alias("_null")).alias("_row")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -309,19 +312,24 @@ def strip(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """Every row with all its columns; the text of a row that loses words becomes its kept words
     joined by a space, and n_chars (if there is one) their length. Other rows stay as they are."""
 
+    at = docs.columns.index("text")
+
     def build(part, words, removed):
         row = part.column("_row")
-        columns = {f.name: row.field(i) for i, f in enumerate(row.type)}
-        texts, lengths = columns["text"].to_pylist(), columns.get("n_chars")
-        lengths = None if lengths is None else lengths.to_pylist()
+        *columns, null = (row.field(i) for i in range(row.type.num_fields))
+        names = [row.type.field(i).name for i in range(row.type.num_fields - 1)]
+        texts = [None if n else t for n, t in zip(null.to_pylist(), part.column("text").to_pylist(), strict=True)]
+        size = names.index("n_chars") if "n_chars" in names else None
+        lengths = None if size is None else columns[size].to_pylist()
         for i, (w, r) in enumerate(zip(words, removed, strict=True)):
             if r is not None and r.any():
                 texts[i] = _kept(w, r).decode()
                 if lengths is not None:
                     lengths[i] = len(texts[i])
-        columns["text"] = pa.array(texts, columns["text"].type)
         if lengths is not None:
-            columns["n_chars"] = pa.array(lengths, columns["n_chars"].type)
-        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            columns[size] = pa.array(lengths, columns[size].type)
+        columns.insert(at, pa.array(texts, pa.string()))
+        names.insert(at, "text")
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     return _cleaned(docs, build, None, window, seed)
