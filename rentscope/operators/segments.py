@@ -11,16 +11,18 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from rentscope import vocab
+from rentscope.session import materialise
+from rentscope.sinks import versions
 
 FEATURES = ["area_ping", "rent_per_ping"]
 SEED = 42
 DRAW = 64
+ROUND = "round int, still boolean, cluster int, centroid array<double>"
 
 
 def scaling(points: DataFrame, features: Sequence[str] = FEATURES) -> dict:
@@ -119,18 +121,36 @@ def rounds(
     columns: Sequence[str],
     centroids: Sequence[Sequence[float]],
     max_iter: int = 10,
+    progress: str | None = None,
 ) -> list[list[float]]:
-    """Centroids after at most ``max_iter`` rounds; stops once no centroid moves."""
-    centroids = [list(map(float, c)) for c in centroids]
-    for _ in range(max_iter):
+    """Centroids after at most ``max_iter`` rounds; stops once no centroid moves.
+
+    With ``progress`` (a folder that all executors reach) each round's centroids are stored there, and a run
+    that finds some goes on behind the last round.
+    """
+    centroids, done, still = [list(map(float, c)) for c in centroids], 0, False
+    if progress:
+        centroids, done, still = _last_round(df.sparkSession, progress) or (centroids, 0, False)
+    while done < max_iter and not still:
         updated = moved(df, centroids, columns)
-        still = np.allclose(centroids, updated, atol=1e-4)
-        centroids = updated
-        if still:
-            break
+        still = bool(np.allclose(centroids, updated, atol=1e-4))
+        centroids, done = updated, done + 1
+        if progress:
+            rows = [(done, still, i, c) for i, c in enumerate(centroids)]
+            told = df.sparkSession.createDataFrame(rows, ROUND).coalesce(1)
+            versions.write(told, f"{progress}/rounds", key=str(done))
     return centroids
 
 
+def _last_round(spark: SparkSession, progress: str) -> tuple[list[list[float]], int, bool] | None:
+    """Centroids, number and end of the last stored round."""
+    try:
+        rows = versions.read(spark, f"{progress}/rounds").orderBy("cluster").collect()
+    except versions.NoSuchTable:
+        return None
+    return [list(r.centroid) for r in rows], rows[0].round, rows[0].still
+
+
 def kmeans(
     df: DataFrame,
     columns: Sequence[str],
@@ -143,11 +163,7 @@ def kmeans(
     first = init or starting_points(df, columns, k, **start)
     if len(first) < k:
         raise ValueError(f"need at least {k} points, got {len(first)}")
-    kept = df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return rounds(kept, columns, first, max_iter)
-    finally:
-        kept.unpersist()
+    return rounds(materialise(df.select(*columns), "kmeans-points"), columns, first, max_iter)
 
 
 def label(clusters: DataFrame, labels: Sequence[str] = vocab.SEGMENT_LABELS) -> DataFrame:
@@ -167,36 +183,37 @@ def segment(
     order: Column | None = None,
     row_number: str | None = None,
     seed: int = SEED,
+    progress: str | None = None,
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Clusters in raw units with label and size, and the transactions with their cluster.
 
     ``init`` holds scaled starting points. Both are None with fewer than k rows. The
-    transactions are read once: the two features and what orders the rows are kept for
-    the statistics, the starting points, all rounds and the sizes.
+    transactions are read once: the two features and what orders the rows are stored for
+    the statistics, the starting points, all rounds and the sizes, so a lost executor costs the part of a
+    round it was at. With ``progress``, a folder of this run alone, a lost driver costs no more: the run that is
+    started again takes the stored points and goes on behind the last round.
     """
     points = transactions.dropna(subset=FEATURES)
     if order is None:
         order = F.xxhash64(F.lit(seed), *[F.col(c) for c in points.columns])
     named = [row_number] if row_number else []
     kept = points.select(*FEATURES, *named, order.alias("_order"))
-    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = transactions.sparkSession
+    if progress:
+        versions.write(kept, f"{progress}/points", key="points")
+        kept = versions.read(spark, f"{progress}/points", 1)
+    else:
+        kept = materialise(kept, "segment-points")
     columns = [f"z{i}" for i in range(len(FEATURES))]
-    try:
-        scale = scaling(kept)
-        if scale["n"] < k:
-            return None, None
-        if init is None:
-            raw = starting_points(
-                kept, FEATURES, k, F.col("_order"), row_number, scale["n"], seed
-            )
-            init = [
-                [(x - m) / s for x, m, s in zip(p, scale["mean"], scale["std"])] for p in raw
-            ]
-        ready = scaled(kept, scale).select(*columns)
-        centroids = rounds(ready, columns, init, max_iter)
-        sizes = assign(ready, centroids, columns).groupBy("cluster_id").count().collect()
-    finally:
-        kept.unpersist()
+    scale = scaling(kept)
+    if scale["n"] < k:
+        return None, None
+    if init is None and not (progress and _last_round(spark, progress)):
+        raw = starting_points(kept, FEATURES, k, F.col("_order"), row_number, scale["n"], seed)
+        init = [[(x - m) / s for x, m, s in zip(p, scale["mean"], scale["std"])] for p in raw]
+    ready = scaled(kept, scale).select(*columns)
+    centroids = rounds(ready, columns, init or [], max_iter, progress)
+    sizes = assign(ready, centroids, columns).groupBy("cluster_id").count().collect()
     size = {row["cluster_id"]: row["count"] for row in sizes}
     rows = [
         (i, *[z * s + m for z, s, m in zip(c, scale["std"], scale["mean"])], size.get(i, 0))

@@ -146,6 +146,36 @@ def test_labels(spark):
     assert got == ["budget", "value", "premium", "luxury", "luxury", "luxury"]
 
 
+def test_segments_resume_at_the_last_round(spark, tmp_path, monkeypatch):
+    """A run that ends in its third round goes on there, over the points it stored, to the same clusters."""
+    random = np.random.default_rng(9)
+    rows = [(f"k{i}", float(a), float(b)) for i, (a, b) in enumerate(random.normal(size=(400, 2)) * 3 + 20)]
+    df = spark.createDataFrame(rows, "row_key string, area_ping double, rent_per_ping double")
+    wanted, _ = segments.segment(df, order=F.md5("row_key"))
+    moved, calls = segments.moved, []
+
+    def counted(*given):
+        calls.append(len(calls))
+        if len(calls) == 3:
+            raise ConnectionError("the driver is gone")
+        return moved(*given)
+
+    monkeypatch.setattr(segments, "moved", counted)
+    progress = str(tmp_path / "progress")
+    with pytest.raises(ConnectionError):
+        segments.segment(df, order=F.md5("row_key"), progress=progress)
+    stored = versions.read(spark, f"{progress}/rounds").select("round").distinct().collect()
+    assert [r.round for r in stored] == [2]
+    # The table is gone by now; the points are there.
+    found, _ = segments.segment(df.limit(0), order=F.md5("row_key"), progress=progress)
+    drop = ("updated_at",)
+    assert sorted(found.drop(*drop).collect()) == sorted(wanted.drop(*drop).collect())
+    assert versions.newest(spark, f"{progress}/points") == 1
+    again = len(calls)
+    segments.segment(df, order=F.md5("row_key"), progress=progress)
+    assert len(calls) == again
+
+
 def test_metrics_after_appends_equal_the_full_run(spark, tmp_path):
     """Counts are refreshed from new loads alone; a replacement starts anew; a repeated refresh adds nothing."""
     table, state = str(tmp_path / "table"), str(tmp_path / "counts")
