@@ -150,6 +150,7 @@ def review_signals(
     if output:
         files.write_result(summary, found, f"{output}/json", "reviews")
         files.write_rows(review_ops.apps(found), f"{output}/json/apps")
+        files.write_rows(feeds.review_rejects(pages), f"{output}/json/rejects")
         files.write_csv(found, f"{output}/csv")
     return found, summary
 
@@ -194,6 +195,7 @@ def search_interest(
     if output:
         files.write_csv(series, f"{output}/csv")
         files.write_rows(summary, f"{output}/json")
+        files.write_rows(feeds.interest_rejects(payloads), f"{output}/rejects")
     return series, summary
 
 

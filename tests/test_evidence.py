@@ -117,6 +117,32 @@ def test_price_records(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/json/benchmarks").count() == 3
 
 
+def test_feeds_of_any_shape(spark):
+    payloads = [
+        '{"feed":{"entry":[{"im:rating":{"label":"5"},"author":1,"im:version":{"x":2}},{"title":null},3,{"im:rating":null}]}}',
+        '{"feed":{"entry":{"im:rating":{"label":" 4 "},"title":{"label":7},"author":2,"updated":{"label":"x"}}}}',
+        '{"feed":{}}', '{"feed":{"entry":null}}', '{"feed":{"entry":[]}}',
+        '{"feed":{"entry":"text"}}', "[1]", '{"feed":', "", None,
+    ]
+    pages = spark.createDataFrame(list(enumerate(payloads)), "page int, payload string")
+    found = {r.page: r for r in feeds.review_entries(pages).collect()}
+    assert set(found) == {0, 1} and (found[0].rating, found[1].rating, found[1].title) == (5, 4, "7")
+    rejects = {r.page: r.reason for r in feeds.review_rejects(pages).collect()}
+    assert rejects == {
+        5: "entry is neither record nor list", 6: "no feed", 7: "not JSON", 8: "not JSON", 9: "no payload",
+    }
+    unknown = {r.field: r.entries for r in feeds.unknown_fields(pages).collect()}
+    assert unknown == {"author": 2, "im:version": 1}
+    guard = ")]}'\n"
+    trends = [
+        guard + '{"default":{"timelineData":[{"time":"86400","hasData":true,"value":[7]},{"time":"0","hasData":true,"value":[]}]}}',
+        guard + '{"default":{}}', guard + '{"default', None, '{"default":{"timelineData":[]}}',
+    ]
+    table = spark.createDataFrame(list(enumerate(trends)), "page int, payload string")
+    assert [(r.page, str(r.week), r.interest) for r in feeds.interest_points(table).collect()] == [(0, "1970-01-02", 7)]
+    assert {r.page: r.reason for r in feeds.interest_rejects(table).collect()} == {1: "no timeline", 2: "not JSON", 3: "no payload"}
+
+
 def test_price_report(spark):
     found = benchmarks.records(*price_inputs(spark), ["version"]).cache()
     row = benchmarks.report_summary(found, "mybrand").first()

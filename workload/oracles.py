@@ -816,6 +816,16 @@ ORACLES |= {
         from ({ORACLES['interest_summary']})""",
     "stored_segments": ORACLES["market_segments"],
     "appended_metrics": ORACLES["district_metrics"],
+    "rejected_pages": f"""
+        select app_name, case when role = 'system' then 'not JSON' when title = 'ok' then 'no feed'
+                 when updated = 'yesterday' then 'entry is neither record nor list'
+                 when title = '租金太貴' then 'no payload' else 'read' end as reason, count(*) as n
+        from ({tables.shape(tables.REVIEWS)}) group by 1, 2""",
+    "rejected_payloads": """
+        select keyword, count(*) as payloads, count(*) filter (where n % 10 in (3, 7)) as rejected
+        from (select event_type as keyword, date_trunc('week', ts) as week, count(*) as n
+              from events group by 1, 2)
+        group by keyword""",
     "recent_signals": ORACLES["kept_signals"],
     "recent_reviews": ORACLES["review_signals"],
     "relative_interest": ORACLES["interest_series"].replace(TIMEFRAME, "2025-06-14 2026-06-14"),

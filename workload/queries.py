@@ -457,6 +457,37 @@ def review_signals(spark, sf):
     return review_rows(spark, sf).withColumn("pain_keywords", joined("pain_keywords"))
 
 
+def rejected_pages(spark, sf):
+    """Feed pages with broken, foreign and empty payloads: how many of each, and what is still read."""
+    pages = feeds.with_app(tables.review_pages(spark, sf), tables.apps(spark, sf))
+    whole = F.col("payload")
+    broken = (
+        F.when(~whole.contains("im:rating"), F.substring("payload", 1, 40))
+        .when(whole.contains('"title":{"label":"ok"}'), F.lit('{"other": 1}'))
+        .when(whole.contains('"updated":{"label":"yesterday"}'), F.lit('{"feed": {"entry": "text"}}'))
+        .when(whole.contains('"title":{"label":"租金太貴"}'), F.lit(None).cast("string"))
+        .otherwise(whole)
+    )
+    pages = materialise(pages.withColumn("payload", broken), "feed-pages")
+    found = feeds.review_rejects(pages).groupBy("app_name", "reason").agg(F.count(F.lit(1)).alias("n"))
+    read = feeds.review_entries(pages).groupBy("app_name").agg(F.count(F.lit(1)).alias("n"))
+    return found.unionByName(read.withColumn("reason", F.lit("read")))
+
+
+def rejected_payloads(spark, sf):
+    """Search-interest payloads cut off after their guard or without a timeline, and those that are read."""
+    rows = tables.trend_payloads(spark, sf)
+    whole = F.col("payload")
+    cut = F.when(whole.contains('"hasData":false'), F.substring("payload", 1, 20))
+    cut = cut.when(whole.contains('"value":[]'), F.lit("{}")).otherwise(whole)
+    rows = materialise(rows.withColumn("payload", cut), "payloads")
+    rejects = feeds.interest_rejects(rows).groupBy("keyword").agg(F.count(F.lit(1)).alias("rejected"))
+    all_ = rows.groupBy("keyword").agg(F.count(F.lit(1)).alias("payloads"))
+    return all_.join(rejects, "keyword", "left").select(
+        "keyword", "payloads", F.coalesce("rejected", F.lit(0)).cast("bigint").alias("rejected")
+    )
+
+
 def recent_reviews(spark, sf):
     """Reviews of the two years before a given time."""
     pages = feeds.with_app(tables.review_pages(spark, sf), tables.apps(spark, sf))
@@ -835,6 +866,7 @@ QUERIES = {
         "index_pages post_pages interest_series interest_stats interest_summary "
         "evidence_report report_districts loaded_open_data price_source_files stored_transactions metrics_pipeline snapshots "
         "signal_files streamed_transactions review_files price_files interest_files "
-        "stored_segments report_head appended_metrics recent_signals recent_reviews relative_interest"
+        "stored_segments report_head appended_metrics recent_signals recent_reviews relative_interest "
+        "rejected_pages rejected_payloads"
     ).split()
 }
