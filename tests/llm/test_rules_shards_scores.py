@@ -173,3 +173,61 @@ def test_isotonic_rises():
     at, share = quality_classifier.isotonic(count, count * np.arange(50), positive)
     assert (np.diff(share) > 0).all() and (np.diff(at) > 0).all()
     assert quality_classifier.isotonic(np.zeros(3), np.zeros(3), np.zeros(3)) is None
+
+
+def plain_isotonic(x, y):
+    """The rising values nearest to y in order of x, by the minimum over ends of maximum over begins of means."""
+    order = np.argsort(x, kind="stable")
+    y = y[order]
+    fitted = np.array(
+        [min(max(y[a : b + 1].mean() for a in range(i + 1)) for b in range(i, len(y))) for i in range(len(y))]
+    )
+    return x[order], fitted
+
+
+def test_classifier_against_plain_numpy(spark):
+    """Moments, normal equations, ridge, calibration and scores of one small table, step by step."""
+    q = quality_classifier
+    docs, labels = labelled(spark, 400)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect() if r.doc_id is not None}
+    given = {}
+    for r in labels.where("doc_id is not null and quality is not null").collect():
+        given[r.doc_id] = max(given.get(r.doc_id, 0), r.quality)
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i in texts}
+    stats = {i: np.array(q.statistics(t or ""), np.float32).astype(float) for i, t in texts.items()}
+    train = [i for i in texts if i in given and fold[i] not in (0, 1)]
+    rest = [i for i in texts if i in given and fold[i] == 1]
+    x = np.array([stats[i] for i in train])
+    mean, scale = x.mean(0), np.sqrt(np.maximum(x.var(0), 1e-8))
+    random = np.random.default_rng(20240501)
+    frequencies = random.normal(size=(x.shape[1], 384)) / 4.0
+    phases = random.uniform(0, 2 * np.pi, 384)
+
+    def features(ids):
+        z = np.clip((np.array([stats[i] for i in ids]) - mean) / scale, -6, 6)
+        return np.hstack([np.sqrt(2 / 384) * np.cos(z @ frequencies + phases), np.ones((len(ids), 1))])
+
+    z, y = features(train), np.array([given[i] for i in train], float)
+    penalty = np.diag([1e-3 * len(train) / 384] * 384 + [0.0]) + 1e-9 * len(train) * np.eye(385)
+    weights = np.linalg.solve(z.T @ z + penalty, z.T @ y)
+    model = q.fit(q.measured(docs), labels)
+    assert model.mean == pytest.approx(mean, rel=1e-9) and model.scale == pytest.approx(scale, rel=1e-6)
+    every = sorted(texts)
+    assert model.raw(np.array([stats[i] for i in every])) == pytest.approx(features(every) @ weights, abs=1e-6)
+
+    raw = np.clip(features(rest) @ weights, -1, 2)
+    bins = np.minimum(((raw + 1) / 3 * q.BINS).astype(int), q.BINS - 1)
+    assert len(rest) > 20
+    counts = np.stack([np.bincount(bins, w, q.BINS) for w in (np.ones(len(rest)), raw, [given[i] for i in rest])])
+    knots, shares = q.isotonic(*counts)
+    # Rows of one bin count together, so the plain curve is fitted to rows that have their bin's mean.
+    told = np.array([given[i] for i in rest], float)
+    by_bin = np.array([told[bins == b].mean() for b in bins])
+    _, curve = plain_isotonic(bins.astype(float), by_bin)
+    assert sorted(set(shares.round(9))) == sorted(set(curve.round(9)))
+    assert model.knots[0] == pytest.approx(knots, abs=1e-6) and model.knots[1] == pytest.approx(shares)
+
+    value = np.clip(features(every) @ weights, -1, 2)
+    wanted = 0.999 * np.interp(value, knots, shares) + 0.001 * (value + 1) / 3
+    found = {r.doc_id: r.score for r in q.score(q.measured(docs), model).collect()}
+    assert [found[i] for i in every] == pytest.approx(wanted, abs=1e-5)
