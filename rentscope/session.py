@@ -13,8 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Lets the CSV reader decode big5 and cp950.
     "spark.sql.legacy.javaCharsets": "true",
-    # Pages go to Python in batches; a page may be large.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    # Pages go to Python in batches; a page may be large, so their bytes are what counts.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
@@ -34,7 +34,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="rentscope-")
     return f"{root.rstrip('/')}/rentscope/{label}-{uuid.uuid4().hex}"

@@ -1,7 +1,8 @@
 """Stored web pages: visible text, forum index pages, forum posts.
 
-HTML needs a parser, so each page is parsed in Python on the executors, one Arrow
-batch at a time; everything after the parse is done with built-in functions.
+HTML needs a parser, so each page is parsed in Python on the executors, out of Arrow batches and into
+Arrow batches; everything after the parse is done with built-in functions. Batches are bounded by bytes, so
+pages may be of any size: a worker holds one page as text, besides a batch that comes and one that goes.
 """
 
 from __future__ import annotations
@@ -11,11 +12,12 @@ from html.entities import html5
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 import rentscope
 from rentscope.functions import text
@@ -31,6 +33,7 @@ VOID = frozenset(
 REMOVED = frozenset(["script", "style", "noscript"])
 HIDDEN = frozenset(["script", "style", "template", "rt", "rp"])
 ROW = "r-ent"
+BATCH_BYTES = 8 << 20
 
 
 class PageReader(HTMLParser):
@@ -238,18 +241,31 @@ class PostPage(PageReader):
 
 
 def _parsed(df: DataFrame, html: str, fields: list[T.StructField], parse) -> DataFrame:
-    """Replace the HTML column by what ``parse`` makes of each page."""
-    kept = [f for f in df.schema.fields if f.name != html]
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = [parse(page) for page in frame[html]]
-            out = frame.drop(columns=[html]).reset_index(drop=True)
-            for place, field in enumerate(fields):
-                out[field.name] = pd.Series([row[place] for row in found], dtype=object)
-            yield out
+    """Replace the HTML column by what ``parse`` makes of each page.
 
-    return df.mapInPandas(batches, T.StructType(kept + fields))
+    Spark bounds the batches that come by ``spark.sql.execution.arrow.maxBytesPerBatch``; those that go are cut
+    after ``BATCH_BYTES`` of HTML, which what is made of it does not exceed by much.
+    """
+    kept = [f for f in df.schema.fields if f.name != html]
+    place = [f.name for f in df.schema.fields].index(html)
+    made = [(f.name, to_arrow_type(f.dataType)) for f in fields]
+
+    def batches(arrived: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrived:
+            pages, begin, size, found = batch.column(place), 0, 0, []
+            for at in range(batch.num_rows):
+                page = pages[at].as_py()
+                size += len(page or "")
+                found.append(parse(page))
+                if size >= BATCH_BYTES or at + 1 == batch.num_rows:
+                    part = batch.slice(begin, at + 1 - begin)
+                    columns = [part.column(i) for i in range(part.num_columns) if i != place]
+                    columns += [pa.array([row[k] for row in found], kind) for k, (_, kind) in enumerate(made)]
+                    names = [n for i, n in enumerate(part.schema.names) if i != place]
+                    yield pa.RecordBatch.from_arrays(columns, names=names + [name for name, _ in made])
+                    begin, size, found = at + 1, 0, []
+
+    return df.mapInArrow(batches, T.StructType(kept + fields))
 
 
 def _string(name: str) -> T.StructField:

@@ -1,5 +1,7 @@
 """Stored HTML pages."""
 
+from pyspark.sql import functions as F
+
 from rentscope.sources import html_pages
 
 BASE = "https://forum.example"
@@ -66,3 +68,23 @@ def test_posts(spark):
     assert one.content == "Call [PHONE_REDACTED]\n\nor [EMAIL_REDACTED]\nLINE: [LINE_ID_REDACTED]"
     assert (two.author, two.board, two.title, two.date, two.content) == ("bob", "fb", "ft", "fd", "text")
     assert (three.author, three.content) == ("fa", "")
+
+
+def test_large_pages_go_through_in_small_batches(spark):
+    """120 pages of 2 MB, 240 MB in all, through workers that may not grow by more than a part of that."""
+    import resource
+
+    from rentscope.sources.html_pages import _parsed, _string
+
+    def parse(page):
+        # What the parser itself needs is tried above; here it is what the batches need.
+        return page[:5], str(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+
+    page = F.concat(F.lit("<p>é"), F.repeat(F.concat(F.lit("x"), F.col("id").cast("string")), 500_000), F.lit("</p>"))
+    pages = spark.range(0, 120, 1, 1).select("id", page.alias("html"), F.lit("z").alias("other"))
+    found = _parsed(pages, "html", [_string("begin"), _string("most")], parse)
+    assert found.columns == ["id", "other", "begin", "most"]
+    rows = found.collect()
+    assert len(rows) == 120 and {r.begin for r in rows} == {"<p>éx"} and {r.other for r in rows} == {"z"}
+    sizes = [int(r.most) for r in sorted(rows, key=lambda r: r.id)]
+    assert sizes[-1] - sizes[0] < 160_000  # kilobytes
