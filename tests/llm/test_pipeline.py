@@ -38,3 +38,14 @@ def test_pipeline(spark, tmp_path):
     frame.repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
     found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert unordered((r.doc_id, r.length, r.ids_crc32) for r in found) == expected(rows)
+
+
+def test_pipeline_on_an_empty_table_and_any_names(spark, docs, tmp_path):
+    """No rows give no rows; names the stages use themselves stay up to the last stage."""
+    docs.limit(0).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    found = corpus_pipeline.run(spark, f"{tmp_path}/empty")
+    assert found.count() == 0 and "sequence_id" in found.columns
+    table = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        table = stage(spark, table, "")
+        assert table.columns == docs.columns
