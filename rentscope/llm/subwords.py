@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 
 LATELY = 400_000
 SHORT = 48
-SLICE = 12_000_000
+SLICE = 5_000_000
 # A space between two visible characters.
 _BORDER = re.compile(r"(?<=\S) (?=\S)")
 _ALNUM = np.array([chr(c).isascii() and chr(c).isalnum() for c in range(256)])
@@ -51,8 +51,11 @@ def is_plain(unit: str) -> bool:
 
 def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """flat[start : start + length] of all given starts and lengths, one after the other."""
-    before = np.cumsum(lengths) - lengths
-    return flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
+    before, total = np.cumsum(lengths) - lengths, int(lengths.sum())
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    places = np.repeat((starts - before).astype(kind), lengths)
+    places += np.arange(total, dtype=kind)
+    return flat[places]
 
 
 def strings(column: pa.Array) -> list[str]:

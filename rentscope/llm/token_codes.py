@@ -32,7 +32,7 @@ MAGIC = b"DAC1"
 CHUNK_BITS = 8
 RANK_BLOCK = 512
 FILE_IDS = 4_000_000
-SLICE = 8_000_000  # characters that are encoded at a time
+SLICE = 4_000_000  # characters that are encoded at a time
 #: Places of all ids are joined to files by ranges of this length.
 RANGE = 4_000_000
 FILES_DDL = "part int, seq int, path string, ids long, docs long"
