@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentscope.llm.common import fresh
 from rentscope.session import materialise, scratch_path
 
 STATE_STORE = {
@@ -37,14 +38,10 @@ def located(docs: DataFrame, columns: list) -> DataFrame:
     """The columns with the file and row they stand in; a table that is not read from files
     is written first."""
     try:
-        return docs.select(
-            *columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-        )
+        place = docs.metadataColumn("_metadata")
+        return docs.select(*columns, place["file_path"].alias("file"), place["row_index"].alias("row"))
     except AnalysisException:
-        stored = materialise(docs.select(*columns), "exact-input")
-        return stored.select(
-            "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-        )
+        return located(materialise(docs.select(*columns), "exact-input"), ["*"])
 
 
 def _columns() -> list:
@@ -54,10 +51,22 @@ def _columns() -> list:
     ]
 
 
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, and the state store's, which queries beside it do not see."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    # Not all of these are known as settings before a store reads them.
+    for key, value in STATE_STORE.items():
+        own.conf.set(key, value)
+    return own
+
+
 def seen_groups(feed_path: str, spark: SparkSession, files_per_batch: int) -> DataFrame:
     """Digest, count and kept row of every digest, as the stream's state has them at its end."""
     stream = (
-        spark.readStream.schema(FEED)
+        _own_session(spark).readStream.schema(FEED)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(feed_path)
         .groupBy("digest")
@@ -68,24 +77,14 @@ def seen_groups(feed_path: str, spark: SparkSession, files_per_batch: int) -> Da
     def store(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
-    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
-    for key, value in STATE_STORE.items():
-        spark.conf.set(key, value)
-    try:
-        query = (
-            stream.writeStream.outputMode("update")
-            .option("checkpointLocation", scratch_path(spark, "exact-checkpoint"))
-            .trigger(availableNow=True)
-            .foreachBatch(store)
-            .start()
-        )
-        query.awaitTermination()
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    query = (
+        stream.writeStream.outputMode("update")
+        .option("checkpointLocation", scratch_path(spark, "exact-checkpoint"))
+        .trigger(availableNow=True)
+        .foreachBatch(store)
+        .start()
+    )
+    query.awaitTermination()
     kept = "struct<doc_id: long, file: string, row: long>"
     changes = spark.read.schema(f"digest string, keep {kept}, n long, batch int").parquet(out)
     # A digest is written again in each batch that meets it; the largest count is the last.
@@ -147,7 +146,9 @@ def _mixed(hits: DataFrame) -> DataFrame:
     here = F.struct("doc_id", *PLACE)
     stays = hits.where(here.eqNullSafe(F.col("keep"))).select("digest", F.col("text").alias("kept_text"))
     differing = hits.join(stays, "digest").where(F.col("text") != F.col("kept_text"))
-    return materialise(differing.select("digest").distinct(), "exact-mixed")
+    # Stored before it is made distinct: a join with nothing behind it may split a hot digest.
+    differing = materialise(differing.select("digest"), "exact-differing")
+    return materialise(differing.distinct(), "exact-mixed")
 
 
 def mark(docs: DataFrame, **options) -> DataFrame:
@@ -158,9 +159,10 @@ def mark(docs: DataFrame, **options) -> DataFrame:
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The rows that stay, with all their columns."""
     try:
-        rows = docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_place"))
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
     except AnalysisException:
         docs = materialise(docs, "exact-input")
-        rows = docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_place"))
-    dropped = classes(docs, **options).where("not kept").select(F.struct(*PLACE).alias("_place"))
-    return rows.join(materialise(dropped, "exact-dropped").hint("merge"), "_place", "left_anti").drop("_place")
+    here, place = docs.metadataColumn("_metadata"), fresh("_place", docs)
+    rows = docs.withColumn(place, F.struct(here["file_path"].alias("file"), here["row_index"].alias("row")))
+    dropped = classes(docs, **options).where("not kept").select(F.struct(*PLACE).alias(place))
+    return rows.join(materialise(dropped, "exact-dropped").hint("merge"), place, "left_anti").drop(place)
