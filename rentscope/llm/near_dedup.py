@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentscope.llm.common import WordHashes, batch_of, draws, keyed_texts, mix, signed
+from rentscope.llm.common import WordHashes, batch_of, draws, fresh, keyed_texts, mix, signed
 from rentscope.llm.components import components
 from rentscope.session import materialise
 
@@ -222,9 +222,10 @@ def _marked(docs: DataFrame, size: int, percent: int) -> DataFrame:
 def _labels(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, label) of the classes that are linked with others."""
     members = _buckets(classes)
-    sizes = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
-    star = members.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("n").alias("n_b"))
-    star = materialise(_fits(star.distinct().join(sizes, "a"), percent), "near-star")
+    star = members.where("node <> head").select(
+        F.col("head").alias("a"), F.col("head_n").alias("n_a"), F.col("node").alias("b"), F.col("n").alias("n_b")
+    )
+    star = materialise(_fits(star, percent), "near-star")
     texts = _texts(docs, classes, members)
     links = verified(star, texts, size, percent)
     labels = components(links.where("linked"))
@@ -239,7 +240,7 @@ def _labels(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(key, node, n, head): the classes of every bucket of two or more, and its head.
+    """(key, node, n, head, head_n): the classes of every bucket of two or more, and its head.
 
     The head is the class whose own buckets are the fullest: among copies with edits of their
     own that is the text they come from, which most of them are linked with.
@@ -249,8 +250,9 @@ def _buckets(classes: DataFrame) -> DataFrame:
     # Counts are stored before they are joined back, so that a hot bucket can be split.
     members = materialise(keys.join(materialise(counts, "near-counts"), "key"), "near-members")
     weights = materialise(members.groupBy("node").agg(F.sum("c").alias("w")), "near-weights")
-    heads = members.join(weights, "node").groupBy("key").agg(F.max(F.struct("w", -F.col("node"))).alias("top"))
-    heads = materialise(heads.select("key", (-F.col("top.col2")).alias("head")), "near-heads")
+    heads = members.join(weights, "node").groupBy("key").agg(F.max(F.struct("w", -F.col("node"), "n")).alias("top"))
+    heads = heads.select("key", (-F.col("top.col2")).alias("head"), F.col("top.n").alias("head_n"))
+    heads = materialise(heads, "near-heads")
     return materialise(members.drop("c").join(heads, "key"), "near-buckets")
 
 
@@ -348,9 +350,10 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     Rows that repeat both are not told apart and stay together; the exact stage leaves one of them.
     """
     dropped = _marked(docs, size, percent).where("not first").select("doc_id", "text_key").distinct()
+    doc, mark_ = fresh("_doc", docs), fresh("_key", docs)
     dropped = materialise(dropped, "near-dropped").select(
-        F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")
+        F.col("doc_id").alias(doc), F.col("text_key").alias(mark_)
     )
     key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (key == F.col("_key"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (key == F.col(mark_))
     return docs.join(dropped.hint("merge"), same, "left_anti")
