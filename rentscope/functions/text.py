@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -12,6 +13,12 @@ from rentscope import vocab
 
 WHITE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 REGEX_SIGNS = set(r"\^$.?*+()[]{}")
+# A class of signs and nothing else: no ranges, escapes or nested classes.
+SIGN_CLASS = re.compile(r"\[([^\\\[\]^&-]+)\]")
+PLAIN = rf"[\x00-/:-\x{{{vocab.FIRST_WIDE - 1:x}}}]"
+# Ideographic space is wide, so a stretch of plain signs has one beginning and is tried once.
+BETWEEN = "[" + vocab.SPACE.replace(r"\u3000", "") + ":,.]"
+GIST = rf"(?<!{PLAIN})({BETWEEN}*+{PLAIN}{{6}}){PLAIN}+"
 
 
 def _present(names: Sequence[str], tests: Sequence[Column]) -> Column:
@@ -19,8 +26,25 @@ def _present(names: Sequence[str], tests: Sequence[Column]) -> Column:
     return F.array_compact(marks) if names else F.array().cast("array<string>")
 
 
-def occurs(text: Column, pattern: str) -> Column:
-    """Whether a pattern occurs, in any case of its letters.
+def gist(text: Column) -> Column:
+    """A text in which every word of wide signs, amount and area is found as in the whole.
+
+    Digits and wide signs stay. Of a stretch of other signs between them, what can stand between a label, an
+    amount and its unit stays, and the six signs behind that, so the longest unit (``ping``) and the sign
+    behind it; an ``x``, which none of the patterns reads, stands for the rest. Most of a text in Latin script
+    goes, so the many searches for words and amounts run over little.
+    """
+    return F.regexp_replace(text, GIST, "$1x")
+
+
+def _holds(text: Column, word: str, short: Column | None) -> Column:
+    """Whether a word occurs; a word of wide signs is looked for in the text's gist, if that is given."""
+    wide = short is not None and all(ord(sign) >= vocab.FIRST_WIDE for sign in word)
+    return (short if wide else text).contains(word)
+
+
+def occurs(text: Column, pattern: str, short: Column | None = None) -> Column:
+    """Whether a pattern occurs, in any case of its letters; ``short`` is the text's gist.
 
     Plain words without case are searched as bytes, which is several times as fast as
     a regular expression over their alternation.
@@ -29,32 +53,43 @@ def occurs(text: Column, pattern: str) -> Column:
         return text.rlike("(?iu)" + pattern)
     words = pattern.split("|")
     cased = [w for w in words if w.lower() != w.upper()]
-    tests = [text.contains(w) for w in words if w not in cased]
+    tests = [_holds(text, w, short) for w in words if w not in cased]
     if cased:
-        tests.append(text.rlike("(?iu)" + "|".join(cased)))
+        distinct = dict.fromkeys(w.lower() if w.isascii() else w for w in cased)
+        tests.append(text.rlike("(?iu)" + "|".join(distinct)))
     return reduce(lambda a, b: a | b, tests)
 
 
-def category_tags(text: Column, patterns: Mapping[str, str]) -> Column:
+def has_sign(text: Column, pattern: str) -> Column:
+    """Whether a pattern occurs; the signs of a bare class are searched as bytes."""
+    signs = SIGN_CLASS.fullmatch(pattern)
+    if signs is None:
+        return text.rlike(pattern)
+    return reduce(lambda a, b: a | b, [text.contains(sign) for sign in signs[1]])
+
+
+def category_tags(text: Column, patterns: Mapping[str, str], short: Column | None = None) -> Column:
     """Names of the categories whose pattern occurs, sorted."""
     names = sorted(patterns)
-    return _present(names, [occurs(text, patterns[name]) for name in names])
+    return _present(names, [occurs(text, patterns[name], short) for name in names])
 
 
-def name_tags(text: Column, names: Sequence[str] = vocab.DISTRICTS) -> Column:
+def name_tags(
+    text: Column, names: Sequence[str] = vocab.DISTRICTS, short: Column | None = None
+) -> Column:
     """The names a text contains, in the order of the list."""
-    return _present(names, [text.contains(name) for name in names])
+    return _present(names, [_holds(text, name, short) for name in names])
 
 
 def keyword_tags(
     text: Column,
     patterns: Mapping[str, str] = vocab.KEYWORDS,
     names: Sequence[str] = vocab.DISTRICTS,
+    short: Column | None = None,
 ) -> Column:
     """Category and district tags together, sorted."""
-    return F.array_sort(
-        F.array_distinct(F.concat(category_tags(text, patterns), name_tags(text, names)))
-    )
+    tags = F.concat(category_tags(text, patterns, short), name_tags(text, names, short))
+    return F.array_sort(F.array_distinct(tags))
 
 
 def pain_tags(text: Column, patterns: Mapping[str, str] = vocab.PAIN_POINTS) -> Column:
@@ -66,10 +101,11 @@ def asks_price(
     pricing: str = vocab.KEYWORDS["pricing"],
     question_words: str = vocab.QUESTION_WORDS,
     question_marks: str = vocab.QUESTION_MARKS,
+    short: Column | None = None,
 ) -> Column:
     """Whether a text speaks of a price and asks something."""
-    asks = text.rlike(question_marks) | occurs(text, question_words)
-    return occurs(text, pricing) & asks
+    asks = occurs(text, question_words, short) | has_sign(text, question_marks)
+    return occurs(text, pricing, short) & asks
 
 
 def collapse(text: Column) -> Column:

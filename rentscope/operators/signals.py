@@ -55,7 +55,8 @@ def to_signals(
     blank = F.lit("")
     title, content = F.coalesce("title", blank), F.coalesce("content", blank)
     rows = articles.withColumn("_all", F.concat(title, F.lit("\n"), content))
-    whole = F.col("_all")
+    rows = rows.withColumn("_gist", text.gist(F.col("_all")))
+    whole, short = F.col("_all"), F.col("_gist")
     known = ("board", "title", "author", "date", "url", "content")
     others = [c for c in articles.columns if c not in known]
     return rows.select(
@@ -68,13 +69,13 @@ def to_signals(
         dates.forum_timestamp(F.col("date")).alias("posted_at"),
         "url",
         text.snippet(content).alias("short_snippet"),
-        text.asks_price(whole, keywords["pricing"], question_words).alias(
+        text.asks_price(whole, keywords["pricing"], question_words, short=short).alias(
             "contains_pricing_question"
         ),
-        text.keyword_tags(whole, keywords, districts).alias("keywords"),
-        text.name_tags(whole, districts).alias("districts"),
-        money.post_prices(whole).alias("extracted_prices_ntd"),
-        money.post_areas(whole).alias("extracted_areas_ping"),
+        text.keyword_tags(whole, keywords, districts, short).alias("keywords"),
+        text.name_tags(whole, districts, short).alias("districts"),
+        money.post_prices(short).alias("extracted_prices_ntd"),
+        money.post_areas(short).alias("extracted_areas_ping"),
     )
 
 

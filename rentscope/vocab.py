@@ -46,6 +46,9 @@ PAIN_POINTS = {
 # --- fixed values: money, area and percent patterns ----------------------------
 SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD_END = r"(?![\p{L}\p{N}_])"
+# Signs from here on (CJK, full-width forms and beyond) are called wide. Labels and units of
+# amounts are made of wide signs, but for k, p and ping; ``functions.text.gist`` rests on that.
+FIRST_WIDE = 0x2E80
 AMOUNT = r"[\d,.]+(?:\.\d{3})?|\d+(?:\.\d+)?[万萬](?:\d+)?"
 MONTHLY_RENT_LABEL = rf"每月租金[：:{SPACE}]*({AMOUNT})"
 MONEY_LABEL = rf"(?:租金|房租|月租|價格|價錢|開價)[：:{SPACE}]*({AMOUNT})"

@@ -99,6 +99,11 @@ def whole_post() -> Column:
     return F.concat("title", F.lit("\n"), "content")
 
 
+def posts_with_gist(spark: SparkSession, sf: str) -> DataFrame:
+    rows = articles(spark, sf).withColumn("_all", whole_post())
+    return rows.withColumn("_gist", text.gist(F.col("_all")))
+
+
 def post_signals(spark: SparkSession, sf: str) -> DataFrame:
     return signals.to_signals(articles(spark, sf))
 
@@ -327,12 +332,12 @@ def stored_segments(spark, sf):
 # --- posts --------------------------------------------------------------------------
 
 def post_tags(spark, sf):
-    whole = whole_post()
-    return articles(spark, sf).select(
+    whole, short = F.col("_all"), F.col("_gist")
+    return posts_with_gist(spark, sf).select(
         "doc_id",
-        joined(text.keyword_tags(whole)).alias("keywords"),
-        joined(text.name_tags(whole)).alias("districts"),
-        text.asks_price(whole).alias("asks_price"),
+        joined(text.keyword_tags(whole, short=short)).alias("keywords"),
+        joined(text.name_tags(whole, short=short)).alias("districts"),
+        text.asks_price(whole, short=short).alias("asks_price"),
     )
 
 
@@ -348,11 +353,11 @@ def word_tags(spark, sf):
 
 
 def post_prices(spark, sf):
-    return articles(spark, sf).select("doc_id", joined(money.post_prices(whole_post())).alias("prices"))
+    return posts_with_gist(spark, sf).select("doc_id", joined(money.post_prices(F.col("_gist"))).alias("prices"))
 
 
 def post_areas(spark, sf):
-    return articles(spark, sf).select("doc_id", decimals(money.post_areas(whole_post())).alias("areas"))
+    return posts_with_gist(spark, sf).select("doc_id", decimals(money.post_areas(F.col("_gist"))).alias("areas"))
 
 
 def post_snippets(spark, sf):
