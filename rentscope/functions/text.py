@@ -115,10 +115,16 @@ def collapse(text: Column) -> Column:
 
 
 def snippet(text: Column, length: int = 200) -> Column:
-    """Start of a text on one line, an ellipsis in the last place where it is cut."""
-    line = collapse(text)
-    cut = F.concat(F.substring(line, 1, length - 1), F.lit("…"))
-    return F.when(F.length(line) <= length, line).otherwise(cut)
+    """Start of a text on one line, an ellipsis in the last place where it is cut.
+
+    A beginning that is too long already decides; only where white space fills it is the whole text read.
+    """
+    def cut(line: Column) -> Column:
+        return F.concat(F.substring(line, 1, length - 1), F.lit("…"))
+
+    begin, line = collapse(F.substring(text, 1, 4 * length)), collapse(text)
+    whole = F.when(F.length(line) <= length, line).otherwise(cut(line))
+    return F.when(F.length(begin) > length, cut(begin)).otherwise(whole)
 
 
 def price_snippet(

@@ -61,3 +61,16 @@ def test_little_of_a_latin_text_is_searched_for_amounts(spark, value):
     plan = signals.to_signals(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all(_all" not in plan and plan.count("{6})") == 1
     assert value(text.gist, " " * 300_000 + "　" * 300_000 + "8坪").endswith("8坪")
+
+
+def test_snippet_of_white_space_and_words(spark):
+    def plain(column, length):
+        line = text.collapse(column)
+        cut = F.concat(F.substring(line, 1, length - 1), F.lit("…"))
+        return F.when(F.length(line) <= length, line).otherwise(cut)
+
+    df = drawn(spark, 3000, [" ", "\n", " " * 20, "　", "ab", "租", "\U0001f3e0"])
+    for length in (1, 5, 8, 200):
+        assert differing(df, text.snippet(F.col("x"), length), plain(F.col("x"), length)) == 0
+    spaced = spark.createDataFrame([(" " * 900 + "ab" + " " * 900 + "c",), (" " * 900 + "d" * 300,)], "x string")
+    assert [r[0] for r in spaced.select(text.snippet(F.col("x"))).collect()] == ["ab c", "d" * 199 + "…"]

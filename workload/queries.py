@@ -436,7 +436,8 @@ def listed(ranks: DataFrame, name: str) -> DataFrame:
 
 
 def forum_overview(spark, sf):
-    rows = materialise(post_signals(spark, sf), "signals")
+    read = ["doc_id", "board", "title", "contains_pricing_question", "keywords", "districts", "extracted_prices_ntd"]
+    rows = materialise(post_signals(spark, sf).select(*read), "signals")
     found = metrics.one_row(
         signals.overview(rows, "doc_id").drop("board_count"), listed(signals.boards(rows, "doc_id"), "boards")
     )
