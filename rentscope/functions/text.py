@@ -157,7 +157,7 @@ def post_body(text: Column) -> Column:
     """A post without its origin line, signature and blank runs."""
     body = F.split_part(text, F.lit(vocab.POST_ORIGIN_MARK), F.lit(1))
     body = F.split_part(body, F.lit(vocab.POST_SIGNATURE_MARK), F.lit(1))
-    body = F.regexp_replace(body, r"\n{3,}", "\n\n")
+    body = F.when(body.contains("\n\n\n"), F.regexp_replace(body, r"\n{3,}", "\n\n")).otherwise(body)
     return F.btrim(body, F.lit(WHITE))
 
 

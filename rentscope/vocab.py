@@ -69,9 +69,10 @@ NUMBER = r"([-+]?\d*\.?\d+)"
 # --- fixed values: personal data patterns and their replacements ----------------
 DIGIT = "[0-9０-９]"
 MOBILE = rf"(?<!{DIGIT})09{DIGIT}{{2}}[-{SPACE}]?{DIGIT}{{3}}[-{SPACE}]?{DIGIT}{{3}}(?!{DIGIT})"
+# A number's first digit comes before the look behind it, so that other signs are passed over at once.
 PHONE = (
-    rf"(?<!{DIGIT})(?:09{DIGIT}{{2}}[-{SPACE}]?{DIGIT}{{3}}[-{SPACE}]?{DIGIT}{{3}}"
-    rf"|{DIGIT}{{2,4}}[-{SPACE}]?{DIGIT}{{6,8}})(?!{DIGIT})"
+    rf"{DIGIT}(?<!{DIGIT}{DIGIT})(?:(?<=0)9{DIGIT}{{2}}[-{SPACE}]?{DIGIT}{{3}}[-{SPACE}]?{DIGIT}{{3}}"
+    rf"|{DIGIT}{{1,3}}[-{SPACE}]?{DIGIT}{{6,8}})(?!{DIGIT})"
 )
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 LINE_ID = rf"(?iu)(line[{SPACE}]*(?:id|帳號)?[{SPACE}]*[:：]?[{SPACE}]*)[A-Za-z0-9_.-]{{4,}}"

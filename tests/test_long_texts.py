@@ -74,3 +74,19 @@ def test_snippet_of_white_space_and_words(spark):
         assert differing(df, text.snippet(F.col("x"), length), plain(F.col("x"), length)) == 0
     spaced = spark.createDataFrame([(" " * 900 + "ab" + " " * 900 + "c",), (" " * 900 + "d" * 300,)], "x string")
     assert [r[0] for r in spaced.select(text.snippet(F.col("x"))).collect()] == ["ab c", "d" * 199 + "…"]
+
+
+def test_phone_pattern_begins_with_a_digit_and_finds_the_same(spark):
+    assert vocab.PHONE.startswith(vocab.DIGIT)
+    df = drawn(spark, 8000, ["0", "9", "09", "０", "９", "12", "345", "1234567", "-", " ", "　", "a", "０９"])
+    new = F.regexp_replace("x", vocab.PHONE, "<$0>")
+    assert differing(df, new, F.regexp_replace("x", PLAIN_PHONE, "<$0>")) == 0
+    assert df.filter(new.contains("<")).count() > 1000
+
+
+def test_post_bodies_with_and_without_blank_runs(spark):
+    page = '<div id="main-content">a\n\n\n\nb 0912-345-678\n\nc</div>'
+    df = spark.createDataFrame([(1, page), (2, '<div id="main-content"><p>x</b>y</p>z'), (3, None)], "i int, html string")
+    assert [r.content for r in html_pages.posts(df).orderBy("i").collect()] == [
+        "a\n\nb [PHONE_REDACTED]\n\nc", "x\ny\nz", "",
+    ]

@@ -621,7 +621,7 @@ def index_pages(spark, sf):
 
 def post_pages(spark, sf):
     """Post pages made from the articles, read back into masked articles."""
-    body = F.regexp_replace(F.regexp_replace("content", "&", "&amp;"), "<", "&lt;")
+    body = F.replace(F.replace("content", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     header = [
         F.concat(F.lit('<div class="article-metaline"><span class="article-meta-tag">T</span>'
                        '<span class="article-meta-value">'), value, F.lit("</span></div>"))
